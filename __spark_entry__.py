@@ -24,6 +24,7 @@ from finmarts.plans import pnl  # noqa: E402
 from finmarts.plans.expectations import EXPECTATIONS  # noqa: E402
 from finmarts.plans.reports import Reports  # noqa: E402
 from finmarts.plans.warehouse import DIMS, FACTS, MARTS, MONTHLY, ODS, Warehouse  # noqa: E402
+from finmarts.session import staged  # noqa: E402
 from finmarts.sources.tpch import tpch_source  # noqa: E402
 
 AS_OF = dt.date(2001, 8, 1)
@@ -146,7 +147,7 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ledger built up to the end of June, then refreshed with the three-day lookback."""
     columns = ["gl_id", "posting_date", "account_id", "amount_base"]
     ledger = warehouse(spark, sf_dir).fct_gl_entry.select(*columns)
-    built = ledger.where(F.col("posting_date") <= F.lit(dt.date(2001, 6, 30)))
+    built = staged(ledger.where(F.col("posting_date") <= F.lit(dt.date(2001, 6, 30))), "built")
     newest = built.agg(F.max("posting_date").alias("d")).first().d
     batch = recent_rows(ledger, newest, "posting_date").withColumn("loaded_by", F.lit("increment"))
     return merge_rows(built.withColumn("loaded_by", F.lit("full build")), batch, ["gl_id"])

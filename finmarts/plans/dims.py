@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from finmarts.functions import rules
 from finmarts.functions.numeric import flag
@@ -25,25 +25,35 @@ SCENARIOS = [
 ]
 
 
+def _fixed_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Literal rows as a local relation, typed by the schema."""
+    columns = [part.split()[0] for part in schema.split(", ")]
+    values = ", ".join(str(row) for row in rows)
+    typed = [F.col(part.split()[0]).cast(part.split()[1]).alias(part.split()[0]) for part in schema.split(", ")]
+    return spark.sql(f"select * from values {values} as fixed({', '.join(columns)})").select(*typed)
+
+
 def channel(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(
-        CHANNELS, "channel_id int, channel_code string, channel_name string, channel_type string"
+    rows = _fixed_rows(
+        spark, CHANNELS, "channel_id int, channel_code string, channel_name string, channel_type string"
     )
     return rows.withColumn("is_digital", flag(F.col("channel_type") == "Digital"))
 
 
 def scenario(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        SCENARIOS, "scenario_id int, scenario_code string, scenario_name string, is_actual int"
-    )
+    return _fixed_rows(spark, SCENARIOS, "scenario_id int, scenario_code string, scenario_name string, is_actual int")
+
 
+def scenario_name(scenario_id: str = "scenario_id") -> Column:
+    """Name of a scenario, null for an unknown one.
 
-def with_scenario_name(df: DataFrame, after: str = "scenario_id") -> DataFrame:
-    """Add ``scenario_name``; the scenario list is four fixed rows, so it is broadcast."""
-    names = scenario(df.sparkSession).select("scenario_id", "scenario_name")
-    position = df.columns.index(after) + 1
-    columns = [*df.columns[:position], "scenario_name", *df.columns[position:]]
-    return df.join(F.broadcast(names), "scenario_id", "left").select(*columns)
+    The list has four fixed rows, so looking the name up in an expression replaces
+    the left join to the scenario dimension.
+    """
+    name = F.lit(None).cast("string")
+    for known, _, shown, _ in reversed(SCENARIOS):
+        name = F.when(F.col(scenario_id) == known, shown).otherwise(name)
+    return name.alias("scenario_name")
 
 
 def account(ods: DataFrame) -> DataFrame:

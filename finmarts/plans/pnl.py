@@ -8,7 +8,7 @@ from finmarts.functions import calendar as cal
 from finmarts.functions.numeric import TOTAL, percent, sum_if, sum_total
 from finmarts.operators.changes import year_to_date
 from finmarts.operators.periods import PERIOD_COLUMNS, explode_periods
-from finmarts.plans.dims import with_scenario_name
+from finmarts.plans.dims import scenario_name
 
 # Report line -> statement group. Expenses are shown as positive amounts.
 EXPENSE_LINES = {
@@ -35,21 +35,13 @@ def pivot_lines(amount: str) -> list[Column]:
 
 def waterfall(lines: DataFrame) -> DataFrame:
     """Revenue down to net profit, with margins in percent of revenue."""
-    steps = {
-        "gross_profit": ("revenue", "cogs"),
-        "ebitda": ("gross_profit", "opex"),
-        "ebit": ("ebitda", "depreciation"),
-        "ebt": ("ebit", "financial_exp"),
-        "net_profit": ("ebt", "tax"),
-    }
-    result = lines
-    for name, (before, cost) in steps.items():
-        result = result.withColumn(name, (F.col(before) - F.col(cost)).cast(TOTAL))
-    return result.withColumns({
-        "gross_margin_pct": percent("gross_profit", "revenue"),
-        "ebitda_margin_pct": percent("ebitda", "revenue"),
-        "net_margin_pct": percent("net_profit", "revenue"),
-    })
+    steps = {"gross_profit": "cogs", "ebitda": "opex", "ebit": "depreciation", "ebt": "financial_exp", "net_profit": "tax"}
+    profits, left = {}, F.col("revenue")
+    for name, cost in steps.items():
+        left = (left - F.col(cost)).cast(TOTAL)
+        profits[name] = left
+    margins = {"gross_margin_pct": "gross_profit", "ebitda_margin_pct": "ebitda", "net_margin_pct": "net_profit"}
+    return lines.withColumns(profits | {name: percent(profits[of], "revenue") for name, of in margins.items()})
 
 
 def with_year_to_date(statement: DataFrame) -> DataFrame:
@@ -64,7 +56,7 @@ def with_year_to_date(statement: DataFrame) -> DataFrame:
 
 def _finish(lines: DataFrame) -> DataFrame:
     complete = with_year_to_date(waterfall(lines))
-    return with_scenario_name(complete.select(*PERIOD_COLUMNS, "scenario_id", *STATEMENT_COLUMNS))
+    return complete.select(*PERIOD_COLUMNS, "scenario_id", scenario_name(), *STATEMENT_COLUMNS)
 
 
 def daily_lines(gl: DataFrame) -> DataFrame:

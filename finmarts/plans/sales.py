@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from finmarts.functions.calendar import CalendarRange
 from finmarts.functions.numeric import percent, safe_ratio, sum_total
-from finmarts.operators.periods import explode_periods
+from finmarts.operators.periods import SLOTS, explode_periods, first_in_period
 from finmarts.plans.monthly import NET_OF_CANCELLED
 
 PERIOD = ["period_type", "period_start", "period_end", "period_label", "year", "quarter"]
@@ -23,8 +23,7 @@ def client_days(lines: DataFrame) -> DataFrame:
     """Sales per day, segment, category and client, with the number of orders.
 
     An order has one date and one client, because both come from its header. So
-    orders can be counted once here and added up over any period; only clients
-    need a distinct count later, and that runs on this much smaller table.
+    orders can be counted once here and added up over any period.
     """
     by_order = (
         lines.where(NET_OF_CANCELLED)
@@ -45,20 +44,35 @@ def _totals() -> list[Column]:
     return [*[sum_total(c).alias(c) for c in MONEY_SUMS], F.sum("quantity").alias("quantity")]
 
 
+def daily_sales(lines: DataFrame) -> DataFrame:
+    """Sums and orders per day, segment and category, with the number of clients new to each period.
+
+    A client counts in a period on the first of its days there, which its previous
+    day tells. The flags are additive, so clients per period are distinct without
+    repeating client rows for every period. A client's series has at most one row
+    per day, so even one client with a large share of all orders stays small here.
+    """
+    series = Window.partitionBy(*SLICE, "client_id").orderBy("order_date")
+    days = client_days(lines).withColumn("_previous", F.lag("order_date").over(series))
+    return days.groupBy("order_date", *SLICE).agg(
+        *_totals(),
+        F.sum("order_count").alias("order_count"),
+        *[F.count_if(is_new & F.col("client_id").isNotNull()).alias(f"_new_{slot}")
+          for slot, is_new in first_in_period("order_date", "_previous").items()],
+    )
+
+
 def sales_by_period(lines: DataFrame, calendar: CalendarRange) -> DataFrame:
     """Sums, orders and distinct clients per period, segment and category.
 
-    Each client is first reduced to one row per period, then counted: a two-step
-    distinct count spread over all clients. Rolling windows end at the month ends
-    of the calendar, whether or not the month has sales.
+    Rolling windows end at the month ends of the calendar, whether or not the month
+    has sales.
     """
     in_calendar = (F.col("period_type") != "rolling_45d") | calendar.covers(F.col("period_end"))
-    periods = explode_periods(client_days(lines), "order_date").where(in_calendar)
-    per_client = periods.groupBy(*PERIOD, *SLICE, "client_id").agg(
-        *_totals(), F.sum("order_count").alias("order_count")
-    )
-    return per_client.groupBy(*PERIOD, *SLICE).agg(
-        *_totals(), F.sum("order_count").alias("order_count"), F.count("client_id").alias("unique_clients")
+    clients = {"unique_clients": {slot: f"_new_{slot}" for slot in SLOTS}}
+    periods = explode_periods(daily_sales(lines), "order_date", per_slot=clients).where(in_calendar)
+    return periods.groupBy(*PERIOD, *SLICE).agg(
+        *_totals(), F.sum("order_count").alias("order_count"), F.sum("unique_clients").alias("unique_clients")
     )
 
 

@@ -13,14 +13,18 @@ the correctness check builds the same inputs from them.
 from __future__ import annotations
 
 import os
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from finmarts.sources.readers import Source
+from finmarts.sources.readers import Source, spread
 from finmarts.sources.schemas import schema_of
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
+#: Tables with one row per business event, whose derivation is worth spreading.
+FACT_TABLES = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_partkey"], "events": ["event_id"]}
+
 #: Load versions of a dimension row: every third key was loaded twice.
 SPARK_VERSIONS = "explode(if({key} % 3 = 0, array(0, 1), array(0)))"
 
@@ -307,10 +311,15 @@ def statement(table: str, tables: dict[str, str], versions: str = SPARK_VERSIONS
 
 def tpch_source(spark: SparkSession, folder: str) -> Source:
     """Source tables over the parquet files of ``folder``."""
-    files = {name: f"parquet.`{os.path.join(folder, name)}.parquet`" for name in BASE_TABLES}
 
-    def read(table: str):
-        columns = schema_of(table).fieldNames()
-        return spark.sql(statement(table, files)).select(*columns)
+    @cache
+    def base(name: str) -> DataFrame:
+        table = spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+        return spread(table, *FACT_TABLES[name]) if name in FACT_TABLES else table
+
+    def read(table: str) -> DataFrame:
+        inputs = {name: base(name) for name in BASE_TABLES if f"{{{name}}}" in STATEMENTS[table]}
+        text = statement(table, {name: f"{{{name}}}" for name in BASE_TABLES})
+        return spark.sql(text, **inputs).select(*schema_of(table).fieldNames())
 
     return read
