@@ -48,8 +48,9 @@ def _versioned(system: str, table: str, key: str) -> str:
 _RENAMED = "case when v = 1 then ' (renamed) ' else ' ' end"
 _LINE_HASH = """md5(concat_ws('|', cast(l_orderkey as string), cast(l_linenumber as string),
         cast(l_partkey as string), cast(l_suppkey as string), cast(cast(l_quantity as int) as string),
-        cast(cast(l_extendedprice as decimal(18,2)) as string), cast(cast(l_discount as decimal(4,2)) as string),
-        cast(cast(l_tax as decimal(4,2)) as string), l_returnflag, l_linestatus,
+        cast(cast(floor(l_extendedprice * 100 + 0.5) as bigint) as string),
+        cast(cast(floor(l_discount * 100 + 0.5) as int) as string),
+        cast(cast(floor(l_tax * 100 + 0.5) as int) as string), l_returnflag, l_linestatus,
         cast(cast(l_shipdate as date) as string)))"""
 _LINE_LOAD = _load(
     "ERP",
