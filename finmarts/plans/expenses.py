@@ -86,7 +86,7 @@ def unpaid(payments: DataFrame, counterparties: DataFrame, categories: DataFrame
         .join(categories.select("cat_id", F.col("stat_name").alias("expense_stat")), "cat_id")
         .groupBy("due_date", "cp_name", "expense_stat")
         .agg(sum_total("amount").alias("total_amount"))
-        .orderBy("due_date")
+        .orderBy("due_date", "cp_name", "expense_stat")
     )
 
 
@@ -116,7 +116,11 @@ def expenses_detail(
 
 
 def expenses_no_category(expenses: DataFrame, cities: DataFrame, counterparties: DataFrame) -> DataFrame:
-    """Expenses still without a category."""
+    """Expenses still without a category.
+
+    Sorted by month and document: with the month alone, one large month could not
+    be divided between sorting tasks.
+    """
     return (
         expenses.where(F.col("has_category") == 0)
         .join(cities.select("city_id", "city_name"), "city_id")
@@ -124,5 +128,5 @@ def expenses_no_category(expenses: DataFrame, cities: DataFrame, counterparties:
         .select(
             cal.month_start(F.col("dt")).alias("month"), "city_name", "cp_name", "doc_number", "item_name", "amount"
         )
-        .orderBy("month")
+        .orderBy("month", "doc_number")
     )

@@ -97,10 +97,10 @@ class Warehouse:
         """Results of the data checks declared for a table."""
         return run_checks(self.table(name), name, EXPECTATIONS[name])
 
-    def publish(self, path: str, incremental: bool = True) -> None:
-        """Write every table below ``path`` and use the written tables from then on."""
+    def publish(self, path: str, tables: Sequence[str] = TABLES, incremental: bool = True) -> None:
+        """Write tables below ``path`` in layer order and use the written ones from then on."""
         loaded = F.unix_timestamp()
-        for name in TABLES:
+        for name in sorted(tables, key=TABLES.index):
             target = os.path.join(path, name)
             rows = self.table(name).withColumn("_loaded_at_ts", loaded)
             if name in FACT_LAYOUT and incremental:
