@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,13 +26,14 @@ def get_spark(app: str = "finmarts", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+@cache
+def _private_folder() -> str:
+    return tempfile.mkdtemp(prefix="finmarts-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared work folder; a private temporary one only where none is configured."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="finmarts-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _private_folder()
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
