@@ -8,7 +8,10 @@ import sys
 from collections.abc import Callable
 from functools import reduce
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
+#: Python workers of a session started after this import find the package too.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, os.environ.get("PYTHONPATH")]))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
@@ -27,6 +30,13 @@ from finmarts.plans.warehouse import DIMS, FACTS, MARTS, MONTHLY, ODS, Warehouse
 from finmarts.session import staged  # noqa: E402
 from finmarts.sources.tpch import tpch_source  # noqa: E402
 
+try:
+    from finmarts.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name != "finmarts.llm":
+        raise
+    llm = None
+
 AS_OF = dt.date(2001, 8, 1)
 CALENDAR = CalendarRange(dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 SMOKE_DATA = "/root/testdata/sf0.001"
@@ -272,8 +282,11 @@ def queries() -> dict[str, Query]:
         **{name: _warehouse_table(name) for name in tables},
         **{name: _register_table(name) for name in REGISTERS},
         **OPERATOR_QUERIES,
+        **(llm.QUERIES if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracle.expected(name) for name in queries()}
+    text_queries = llm.QUERIES if llm else {}
+    expected = {name: oracle.expected(name) for name in queries() if name not in text_queries}
+    return {**expected, **(llm.ORACLE_SQL if llm else {})}
