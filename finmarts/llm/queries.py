@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmarts.llm.common import table
 from finmarts.llm.encoding import tokenizer_path
+from finmarts.llm.mixing import digest_per_document
 from finmarts.llm.packing import pack_documents
+from finmarts.llm.quality import BASE, quality
+from finmarts.llm.simhash import components
+from finmarts.llm.suffix_tree import language_scores
+from finmarts.llm.superkmers import without_repeats
 from finmarts.llm.token_files import read_token_files, write_token_files
 
 END_ID = 2
@@ -17,13 +22,41 @@ def op2_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept", "n_removed_words")
+
+
+def op6_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
+def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_per_document(table(spark, sf_dir, "documents"))
+
+
 def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), END_ID)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = components(table(spark, sf_dir, "documents"))
+    hexed = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def op10_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_bit_packed_tokens": op2_bit_packed_tokens,
+    "op5_line_frequency_quality": op5_line_frequency_quality,
+    "op6_suffix_tree_scores": op6_suffix_tree_scores,
+    "op7_splitting_tree_mix": op7_splitting_tree_mix,
     "op8_cost_balanced_packing": op8_cost_balanced_packing,
+    "op9_covering_simhash": op9_covering_simhash,
+    "op10_super_kmer_substrings": op10_super_kmer_substrings,
 }
 ORACLE_SQL: dict[str, str] = {}
