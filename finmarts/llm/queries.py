@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from finmarts.llm.ann import nearest
 from finmarts.llm.common import table
 from finmarts.llm.encoding import tokenizer_path
 from finmarts.llm.mixing import digest_per_document
@@ -13,6 +14,7 @@ from finmarts.llm.simhash import components
 from finmarts.llm.suffix_tree import language_scores
 from finmarts.llm.superkmers import without_repeats
 from finmarts.llm.token_files import read_token_files, write_token_files
+from finmarts.llm.wrappers import main_text
 
 END_ID = 2
 
@@ -22,6 +24,14 @@ def op2_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op4_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept", "n_removed_words")
 
@@ -52,6 +62,8 @@ def op10_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bit_packed_tokens": op2_bit_packed_tokens,
+    "op3_multi_index_hashing": op3_multi_index_hashing,
+    "op4_wrapper_induction": op4_wrapper_induction,
     "op5_line_frequency_quality": op5_line_frequency_quality,
     "op6_suffix_tree_scores": op6_suffix_tree_scores,
     "op7_splitting_tree_mix": op7_splitting_tree_mix,
