@@ -14,11 +14,16 @@ from finmarts.llm.simhash import components
 from finmarts.llm.suffix_tree import language_scores
 from finmarts.llm.superkmers import without_repeats
 from finmarts.llm.token_files import read_token_files, write_token_files
+from finmarts.llm.toxicity import toxicity
 from finmarts.llm.wrappers import main_text
 
 END_ID = 2
 
 
+def op1_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID)
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -61,6 +66,7 @@ def op10_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_weak_supervision_toxicity": op1_weak_supervision_toxicity,
     "op2_bit_packed_tokens": op2_bit_packed_tokens,
     "op3_multi_index_hashing": op3_multi_index_hashing,
     "op4_wrapper_induction": op4_wrapper_induction,
