@@ -5,8 +5,9 @@ A text is its words (A-Z in lower case), each with a space after it, then an end
 distribution diverges from that of its suffix: count times Kullback-Leibler divergence of at least `DIVERGENCE` nats.
 The suffixes of a kept context are kept. Each distribution is smoothed with its suffix's by the number of different
 symbols seen after the context (Witten and Bell), the root's with a uniform one. A symbol is scored by the longest
-kept suffix of what precedes it. The tree's probability of a word is that of its symbols; as a last smoothing it is
-averaged with the word's share of the training tokens.
+kept suffix of what precedes it. A word's probability is that of its symbols, or this averaged with the word's share
+of the training tokens; a text's is the mean of what it gets either way, so that texts of known words and texts that
+the tree alone can spell both get nearly the better of the two.
 
 The counts of all training texts are merged inside each task and shuffled, so what they move grows with the corpus.
 The tree that is sent to the tasks does not: a level has at most 1 / `LEAST_SHARE` contexts of 256 symbols.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from finmarts.llm.common import batches, held_out, lower_words_of, written
 
-DEPTH, LEAST_SHARE, LEAST_COUNT, DIVERGENCE = 5, 2e-6, 2, 10.0
+DEPTH, LEAST_SHARE, LEAST_COUNT, DIVERGENCE = 5, 1e-7, 2, 3.0
 BLOCK_BYTES = 16 << 20
 #: Symbols handled at once in a task.
 CHUNK = 4 << 20
@@ -214,14 +215,16 @@ def scored(texts: DataFrame, dictionary: DataFrame, model, depth: int, tokens: i
             seen = np.fromiter((n for w in texts for n in (*map(counts.__getitem__, w), ends)), np.float64)
             with np.errstate(divide="ignore"):
                 share = np.log(seen / max(1, tokens))
-            mixed = np.logaddexp(share, tree.tokens(texts, depth) * math.log(10)) + math.log(0.5)
+            spelled = tree.tokens(texts, depth) * math.log(10)
+            mixed = np.logaddexp(share, spelled) + math.log(0.5)
             sizes = np.array([len(w) + 1 for w in texts])
             starts = np.cumsum(sizes) - sizes
+            both = np.logaddexp(np.add.reduceat(mixed, starts), np.add.reduceat(spelled, starts)) + math.log(0.5)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), part.column("held_out"), pa.array(sizes),
                 pa.array(np.add.reduceat((seen > 0).astype(np.int64), starts)),
                 pa.array(np.add.reduceat(np.log10(seen + 1), starts)),
-                pa.array(np.add.reduceat(mixed, starts) / math.log(10)),
+                pa.array(both / math.log(10)),
             ], schema=schema)
 
         for batch in rows:
