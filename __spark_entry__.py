@@ -31,11 +31,15 @@ from finmarts.session import staged  # noqa: E402
 from finmarts.sources.tpch import tpch_source  # noqa: E402
 
 try:
+    import corpus_pipeline  # noqa: E402
     from finmarts.llm import queries as llm  # noqa: E402
 except ModuleNotFoundError as missing:
-    if missing.name != "finmarts.llm":
+    if missing.name not in ("corpus_pipeline", "finmarts.llm"):
         raise
-    llm = None
+    TEXT_QUERIES, TEXT_SQL = {}, {}
+else:
+    TEXT_QUERIES = {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+    TEXT_SQL = {**llm.ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
 
 AS_OF = dt.date(2001, 8, 1)
 CALENDAR = CalendarRange(dt.date(1995, 1, 1), dt.date(2001, 12, 31))
@@ -282,11 +286,10 @@ def queries() -> dict[str, Query]:
         **{name: _warehouse_table(name) for name in tables},
         **{name: _register_table(name) for name in REGISTERS},
         **OPERATOR_QUERIES,
-        **(llm.QUERIES if llm else {}),
+        **TEXT_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    text_queries = llm.QUERIES if llm else {}
-    expected = {name: oracle.expected(name) for name in queries() if name not in text_queries}
-    return {**expected, **(llm.ORACLE_SQL if llm else {})}
+    expected = {name: oracle.expected(name) for name in queries() if name not in TEXT_QUERIES}
+    return {**expected, **{name: sql for name, sql in TEXT_SQL.items() if sql}}

@@ -6,7 +6,7 @@ from conftest import DATA
 
 import __spark_entry__ as entry
 
-QUERIES = {n: q for n, q in entry.queries().items() if entry.llm is None or n not in entry.llm.QUERIES}
+QUERIES = {n: q for n, q in entry.queries().items() if n not in entry.TEXT_QUERIES}
 
 
 @pytest.fixture(scope="module")
