@@ -178,3 +178,13 @@ def digest_per_document(docs: DataFrame) -> DataFrame:
     return placed.join(taken, same, "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken"), "first_shard"
     )
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix as documents: a row for each piece, in the columns of ``docs``, shard by shard in the shards' order."""
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    placed = written(positions(docs.select("doc_id", "text", "source", row)).drop("text"), "mix-positions")
+    taken = mix(placed).withColumn("text", F.col("row.text"))
+    changed = {"text": mixed_text(), "n_chars": F.length(mixed_text()).cast("long")}
+    columns = [changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns]
+    return taken.repartition("shard").sortWithinPartitions("shard", "position").select(*columns)

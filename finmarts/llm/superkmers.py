@@ -356,3 +356,18 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     joined = keyed(docs).join(per_doc, ["doc_key", "text_hash"], "left")
     done = joined.mapInArrow(remove, names)
     return done.select(F.nullif("doc_key", F.lit(NO_ID)).alias("doc_id"), "text_hash", "n_words", "n_removed", "kept")
+
+
+def removed_from(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without repeated passages, in its own columns, ``n_chars`` counted anew.
+
+    A document with repeats keeps its other words, joined by one space; others keep their text as it is, and a
+    document that is repeated altogether keeps an empty text.
+    """
+    left = without_repeats(docs, window).where("n_removed > 0").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("kept").alias("__kept")
+    ).dropDuplicates(["__id", "__hash"])
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    text = F.coalesce("__kept", "text")
+    changed = docs.join(left, same, "left").withColumn("text", text)
+    return changed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
