@@ -8,6 +8,7 @@ from finmarts.llm.ann import nearest
 from finmarts.llm.common import table
 from finmarts.llm.encoding import tokenizer_path
 from finmarts.llm.mixing import digest_per_document
+from finmarts.llm.oracles import ORACLE_SQL  # noqa: F401
 from finmarts.llm.packing import pack_documents
 from finmarts.llm.quality import BASE, quality
 from finmarts.llm.simhash import components
@@ -77,4 +78,3 @@ QUERIES = {
     "op9_covering_simhash": op9_covering_simhash,
     "op10_super_kmer_substrings": op10_super_kmer_substrings,
 }
-ORACLE_SQL: dict[str, str] = {}
