@@ -13,8 +13,9 @@ from each other, as each has the minimiser at another distance from its start.
    where the windows are sorted and counted.
 4. The repeated windows of each document are brought back to it and their words removed.
 
-A bucket of more than `HOT` super-k-mers is not gathered in a task: its equal ones are counted with partial sums, and
-the windows of the others are dealt out by window rather than by minimiser.
+A bucket of more than `HOT` super-k-mers is not gathered in a task: its equal ones are counted with partial sums. Where
+more than `HOT_STRINGS` different ones are left in a bucket, their windows are dealt out by window rather than by
+minimiser.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from finmarts.llm.common import batches, words_of, written
 
 WINDOW, GRAM = 35, 12
-HOT = 5000
+#: Super-k-mers of 44 bytes, and packed strings of some hundred bytes, that one bucket may bring to a task.
+HOT, HOT_STRINGS = 200_000, 50_000
 REMEMBERED = 1 << 20
 NO_ID = -(1 << 63)
 
@@ -94,26 +96,42 @@ def super_kmers(documents: list[list[bytes]], hashes: dict, window: int, gram: i
     }
 
 
+def _window_keys(h: np.ndarray, window: int, salt: int) -> np.ndarray:
+    """A 64-bit key of each window of a sequence of word hashes."""
+    h = _mixed(h ^ np.uint64(salt))
+    ones = np.ones(1, np.uint64)
+    powers = np.cumprod(np.concatenate([ones, np.full(len(h), STEP)]), dtype=np.uint64)
+    undo = np.cumprod(np.concatenate([ones, np.full(len(h), INVERSE)]), dtype=np.uint64)
+    sums = np.concatenate([ones * 0, np.cumsum(h * powers[:-1], dtype=np.uint64)])
+    return _mixed((sums[window:] - sums[:-window]) * undo[: len(h) - window + 1])
+
+
 def repeated_in_bucket(strings: list[bytes], weights: list[int], window: int) -> list[list[int]]:
     """For each packed string of a bucket, which of its windows are found twice or more in the bucket.
 
-    Windows are sorted, and equal neighbours counted; a string that stands for several super-k-mers has a weight
-    of two.
+    Windows are sorted by 128 bits made from their words, and equal neighbours counted; a string that stands for
+    several super-k-mers has a weight of two.
     """
     words = [s.split() for s in strings]
-    entries = sorted(
-        (b" ".join(w[i : i + window]), which, i) for which, w in enumerate(words) for i in range(len(w) - window + 1)
-    )
+    sizes = np.array([len(w) for w in words])
+    hashes = _WordHashes()
+    h = np.fromiter((hashes[x] for w in words for x in w), np.uint64, int(sizes.sum()))
     found: list[list[int]] = [[] for _ in strings]
-    at = 0
-    while at < len(entries):
-        end = at + 1
-        while end < len(entries) and entries[end][0] == entries[at][0]:
-            end += 1
-        if sum(weights[which] for _, which, _ in entries[at:end]) > 1:
-            for _, which, i in entries[at:end]:
-                found[which].append(i)
-        at = end
+    if len(h) < window:
+        return found
+    ends = np.cumsum(sizes)
+    which = np.repeat(np.arange(len(words)), sizes)[: len(h) - window + 1]
+    at = np.flatnonzero(np.arange(len(which)) + window <= ends[which])
+    keys = [_window_keys(h, window, salt)[at] for salt in (0, 0x5851F42D4C957F2D)]
+    order = np.lexsort(keys)
+    one, two = keys[0][order], keys[1][order]
+    first = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])[: len(order)])
+    if not len(order):
+        return found
+    totals = np.add.reduceat(np.array(weights)[which[at[order]]], first)
+    twice = np.sort(at[order[np.repeat(totals > 1, np.diff(np.append(first, len(order))))]])
+    for w, i in zip(which[twice].tolist(), (twice - (ends - sizes)[which[twice]]).tolist()):
+        found[w].append(i)
     return found
 
 
@@ -302,16 +320,21 @@ def _counted_hot(strings: DataFrame, window: int) -> DataFrame:
     )
 
 
-def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def _crowded(rows: DataFrame, most: int) -> DataFrame:
+    """The minimisers with more than so many rows; few by nature, at most rows / most."""
+    counts = rows.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    return written(counts.select("minimiser", F.lit(True).alias("crowded")), "crowded-minimisers")
+
+
+def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, hot_strings: int = HOT_STRINGS) -> DataFrame:
     """(doc_key, text_hash, start, windows): runs of windows whose words also start elsewhere, in any document."""
     parts = written(described(docs, window, gram), "super-k-mers")
-    crowded = parts.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
-    crowded = written(crowded.select("minimiser", F.lit(True).alias("crowded")), "crowded-minimisers")
-    marked = parts.join(crowded, "minimiser", "left")
-    plain = _judged(marked.where("crowded is null").drop("crowded")).withColumn("crowded", F.lit(False))
-    hot_ones = _judged_hot(parts.join(crowded.select("minimiser"), "minimiser")).withColumn("crowded", F.lit(True))
-    judged = written(plain.unionByName(hot_ones), "judged-super-k-mers")
-    strings = written(_strings(keyed(docs), judged.where("weight > 0"), window), "packed-strings")
+    marked = parts.join(_crowded(parts, hot), "minimiser", "left")
+    plain = _judged(marked.where("crowded is null").drop("crowded"))
+    judged = written(plain.unionByName(_judged_hot(marked.where("crowded").drop("crowded"))), "judged-super-k-mers")
+    asked = judged.where("weight > 0")
+    asked = asked.join(_crowded(asked, hot_strings), "minimiser", "left").withColumn("crowded", F.col("crowded").isNotNull())
+    strings = written(_strings(keyed(docs), asked, window), "packed-strings")
     place = ["doc_key", "text_hash", "start", "windows"]
     settled = judged.where("weight = 0").select(*place)
     counted = _counted(strings.where("not crowded"), window).unionByName(_counted_hot(strings.where("crowded"), window))
@@ -327,14 +350,14 @@ def covered(words: int, places: list[dict] | None, window: int) -> np.ndarray:
     return edges[:-1].cumsum() > 0
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, hot_strings: int = HOT_STRINGS) -> DataFrame:
     """doc_id, text_hash, n_words, n_removed and ``kept`` (the words left, joined by one space) for each row.
 
     A null text has no words. Shorter documents than a window keep all words. Repeated rows repeat each other, so
     both lose all words that a window covers. Columns other than doc_id and text are not read; an empty table gives
     no rows.
     """
-    places = repeated_places(docs, window, gram, hot)
+    places = repeated_places(docs, window, gram, hot, hot_strings)
     per_doc = places.groupBy("doc_key", "text_hash").agg(F.collect_list(F.struct("start", "windows")).alias("places"))
     names = "doc_key long, text_hash long, n_words long, n_removed long, kept string"
     schema = _long_schema(names)
