@@ -158,7 +158,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, bits: int = BITS, shard_ro
     sample = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
     queries = rows.where(is_query).dropDuplicates(["vec_id"])
     n, q = rows.count(), queries.count()
-    fitted = np.array(sample, dtype=np.float64).reshape(len(sample), -1)
+    fitted = np.array(sample, dtype=np.float64).reshape(len(sample), len(sample[0]) if sample else 0)
     codes = Codes(fitted, bits) if sample else None
     radius = search_radius(codes, fitted, k) if sample else 0
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(q / query_rows))
