@@ -22,12 +22,11 @@ from finmarts.functions.numeric import TOTAL, money, percent, safe_ratio, sum_if
 from finmarts.operators.changes import previous_month, year_to_date  # noqa: E402
 from finmarts.operators.latest import latest, latest_live, replace_by_key, sum_merge  # noqa: E402
 from finmarts.operators.periods import explode_periods  # noqa: E402
-from finmarts.operators.upsert import merge_rows, recent_rows  # noqa: E402
+from finmarts.operators.upsert import LOOKBACK_DAYS, merge_rows  # noqa: E402
 from finmarts.plans import pnl  # noqa: E402
 from finmarts.plans.expectations import EXPECTATIONS  # noqa: E402
 from finmarts.plans.reports import Reports  # noqa: E402
 from finmarts.plans.warehouse import DIMS, FACTS, MARTS, MONTHLY, ODS, Warehouse  # noqa: E402
-from finmarts.session import staged  # noqa: E402
 from finmarts.sources.tpch import tpch_source  # noqa: E402
 
 try:
@@ -158,12 +157,17 @@ def dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ledger built up to the end of June, then refreshed with the three-day lookback."""
+    """A ledger built up to the end of June, then refreshed from a source with other amounts and moved postings."""
     columns = ["gl_id", "posting_date", "account_id", "amount_base"]
     ledger = warehouse(spark, sf_dir).fct_gl_entry.select(*columns)
-    built = staged(ledger.where(F.col("posting_date") <= F.lit(dt.date(2001, 6, 30))), "built")
-    newest = built.agg(F.max("posting_date").alias("d")).first().d
-    batch = recent_rows(ledger, newest, "posting_date").withColumn("loaded_by", F.lit("increment"))
+    built = ledger.where(F.col("posting_date") <= F.lit(dt.date(2001, 6, 30)))
+    later = ledger.withColumns({
+        "posting_date": F.when(F.col("gl_id") % 11 == 0, F.add_months("posting_date", 1)).otherwise(F.col("posting_date")),
+        "amount_base": F.when(F.col("gl_id") % 7 == 0, F.col("amount_base") * 2).otherwise(F.col("amount_base")).cast("decimal(18,2)"),
+    })
+    newest = built.agg(F.max("posting_date")).scalar()
+    recent = (F.col("posting_date") >= F.date_sub(newest, LOOKBACK_DAYS)) | F.col("posting_date").isNull()
+    batch = later.where(recent).withColumn("loaded_by", F.lit("increment"))
     return merge_rows(built.withColumn("loaded_by", F.lit("full build")), batch, ["gl_id"])
 
 
@@ -172,12 +176,21 @@ def pivot_sum_if(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_distinct_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts of three columns, each from one row a value, so that no line is repeated."""
     lines = warehouse(spark, sf_dir).fct_sales_order_line
-    return lines.groupBy("client_segment", "product_category").agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("client_id").alias("clients"),
-        F.count_distinct("product_id").alias("products"),
-    )
+    group = ["client_segment", "product_category"]
+
+    def once(*columns: str) -> DataFrame:
+        return lines.groupBy(*group, *columns).agg(F.count(F.lit(1)).alias("lines"))
+
+    orders = once("client_id", "order_id")
+    # an order has one client, but lines without an order have neither
+    per_client = orders.groupBy(*group, "client_id").agg(F.count("order_id").alias("orders"))
+    counted = per_client.groupBy(*group).agg(F.sum("orders").alias("orders"), F.count("client_id").alias("clients"))
+    products = once("product_id").groupBy(*group).agg(F.count("product_id").alias("products"))
+    renamed = products.select(*[F.col(c).alias(f"_{c}") for c in group], "products")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]
+    return counted.join(renamed, same).select(*group, "orders", "clients", "products")
 
 
 def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:

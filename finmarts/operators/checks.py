@@ -22,35 +22,28 @@ class Checks:
 def run_checks(df: DataFrame, table: str, checks: Checks) -> DataFrame:
     """One row per check with the number of failing rows (for ``unique``: repeated values).
 
-    The row checks and the first unique key share one pass: counters per key value,
-    then totals. A table that was just deduplicated by that key is already
-    partitioned for it. Nulls pass the accepted-values and condition checks.
+    Row checks are counted inside each task and only totals travel. Uniqueness shuffles keys alone, those of a
+    table with several keys in one pass. Nulls pass the accepted-values and condition checks.
     """
     failing = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
     failing += [("accepted_values", c, ~F.col(c).isin(list(v))) for c, v in checks.accepted.items()]
     failing += [("expression_is_true", name, ~F.expr(e)) for name, e in checks.conditions.items()]
-    counters = [F.count_if(condition).alias(f"_c{i}") for i, (_, _, condition) in enumerate(failing)]
-    names = [(kind, column, f"_c{i}") for i, (kind, column, _) in enumerate(failing)]
-
-    key, *other_keys = checks.unique or [None]
-    if key is None:
-        totals = df.agg(*counters)
-    else:
-        by_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *counters)
-        totals = by_key.agg(
-            _repeated(key),
-            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for _, _, c in names],
-        )
-        names.append(("unique", key, "_repeated"))
-    results = [_report(totals, table, names)]
-    for other in other_keys:
-        repeated = df.groupBy(other).agg(F.count(F.lit(1)).alias("_rows")).agg(_repeated(other))
-        results.append(_report(repeated, table, [("unique", other, "_repeated")]))
+    results = []
+    if failing:
+        counters = [F.count_if(condition).alias(f"_c{i}") for i, (_, _, condition) in enumerate(failing)]
+        names = [(kind, column, f"_c{i}") for i, (kind, column, _) in enumerate(failing)]
+        results.append(_report(df.agg(*counters), table, names))
+    if checks.unique:
+        each = [F.struct(F.lit(i).alias("_key"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(checks.unique)]
+        keys = df.select(F.inline(F.array(*each))).where("_value is not null")
+        repeated = keys.groupBy("_key", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+        totals = repeated.agg(*[_repeated(i) for i in range(len(each))])
+        results.append(_report(totals, table, [("unique", c, f"_u{i}") for i, c in enumerate(checks.unique)]))
     return reduce(DataFrame.unionByName, results)
 
 
-def _repeated(key: str) -> Column:
-    return F.count_if(F.col(key).isNotNull() & (F.col("_rows") > 1)).alias("_repeated")
+def _repeated(i: int) -> Column:
+    return F.count_if((F.col("_key") == i) & (F.col("_rows") > 1)).alias(f"_u{i}")
 
 
 def _report(totals: DataFrame, table: str, names: list[tuple[str, str, str]]) -> DataFrame:

@@ -92,7 +92,7 @@ EXPECTATIONS: dict[str, Checks] = {
     "dim_manager": keyed("manager_id", "full_name"),
     "dim_product": keyed(["product_id", "sku_code"], "category base_price"),
     "dim_account": keyed(["account_id", "account_code"], "account_name account_type", STATEMENTS),
-    "dim_channel": keyed("channel_id", "channel_code"),
+    "dim_channel": keyed("channel_id", "channel_code channel_name"),
     "dim_scenario": keyed("scenario_id", "scenario_code"),
     "fct_gl_entry": keyed(
         "gl_id", "posting_date account_id amount_base", gl_amount_non_negative="amount_base >= 0"

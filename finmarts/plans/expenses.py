@@ -71,7 +71,7 @@ def payment_calendar(payments: DataFrame) -> DataFrame:
     """Planned sales, payments due and balance per day."""
     return payments.groupBy("dt").agg(
         *[sum_total(c).alias(c) for c in ("planned_sales", "amount_to_pay", "balance")]
-    ).orderBy("dt")
+    )
 
 
 def unpaid(payments: DataFrame, counterparties: DataFrame, categories: DataFrame) -> DataFrame:
@@ -86,7 +86,6 @@ def unpaid(payments: DataFrame, counterparties: DataFrame, categories: DataFrame
         .join(categories.select("cat_id", F.col("stat_name").alias("expense_stat")), "cat_id")
         .groupBy("due_date", "cp_name", "expense_stat")
         .agg(sum_total("amount").alias("total_amount"))
-        .orderBy("due_date", "cp_name", "expense_stat")
     )
 
 
@@ -116,11 +115,7 @@ def expenses_detail(
 
 
 def expenses_no_category(expenses: DataFrame, cities: DataFrame, counterparties: DataFrame) -> DataFrame:
-    """Expenses still without a category.
-
-    Sorted by month and document: with the month alone, one large month could not
-    be divided between sorting tasks.
-    """
+    """Expenses still without a category."""
     return (
         expenses.where(F.col("has_category") == 0)
         .join(cities.select("city_id", "city_name"), "city_id")
@@ -128,5 +123,4 @@ def expenses_no_category(expenses: DataFrame, cities: DataFrame, counterparties:
         .select(
             cal.month_start(F.col("dt")).alias("month"), "city_name", "cp_name", "doc_number", "item_name", "amount"
         )
-        .orderBy("month", "doc_number")
     )

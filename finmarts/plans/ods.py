@@ -53,8 +53,8 @@ def company(stg: DataFrame) -> DataFrame:
 
 
 def accounts(stg: DataFrame) -> DataFrame:
-    """Chart of accounts; group codes come out in one spelling whatever the source uses."""
-    typed = stg.where(F.col("_is_deleted") == 0).select(
+    """Chart of accounts, one row per account; group codes come out in one spelling whatever the source uses."""
+    typed = latest_live(stg, ["account_id"]).select(
         _id("account_id"),
         *_code("account_code"),
         *_text("account_name", "account_type"),

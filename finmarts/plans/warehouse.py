@@ -1,14 +1,15 @@
 """The ERP lineage as named tables, computed lazily or published to parquet.
 
 ``Warehouse(spark, source, as_of)`` gives every table as an attribute. Nothing runs
-until a table is used, except that the monthly ledger aggregate, which several
-reports share, is written once to the shared folder. ``publish`` writes all tables
-layer by layer; later layers then read the written ones, and facts that already
-exist are refreshed incrementally.
+until a table is used. The monthly ledger aggregate, which several reports share, is
+kept by Spark after its first use; ``release`` gives it up. ``publish`` writes tables
+layer by layer; layers above read what lies below the same path, and facts that
+already exist are refreshed incrementally.
 """
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
 import os
 from collections.abc import Sequence
@@ -19,10 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from finmarts.functions.calendar import CalendarRange, dim_date
 from finmarts.operators.checks import run_checks
 from finmarts.operators.lookups import lookup_side
-from finmarts.operators.upsert import upsert_table
+from finmarts.operators.upsert import built, finish_upsert, newest_date, recent_rows, upsert_table
 from finmarts.plans import balance, cashflow, dims, facts, kpi, monthly, ods, pnl, receivables, sales
 from finmarts.plans.expectations import EXPECTATIONS
-from finmarts.session import staged
 from finmarts.sources.readers import Source
 from finmarts.sources.sinks import MONTH, YEAR, write_table
 
@@ -78,6 +78,13 @@ FACT_LAYOUT = {
     "fct_sales_order_line": ("order_line_id", "order_date", ["order_date", "client_id", "product_id", "order_line_id"]),
 }
 
+#: Fact -> the clean table with the same date that it has a row for each row of.
+DRIVERS = {
+    "fct_gl_entry": "ods_gl_postings",
+    "fct_invoice": "ods_invoices",
+    "fct_marketing_spend": "ods_marketing_spend",
+}
+
 
 class Warehouse:
     def __init__(
@@ -98,13 +105,22 @@ class Warehouse:
         return run_checks(self.table(name), name, EXPECTATIONS[name])
 
     def publish(self, path: str, tables: Sequence[str] = TABLES, incremental: bool = True) -> None:
-        """Write tables below ``path`` in layer order and use the written ones from then on."""
+        """Write tables below ``path`` in layer order and use the written ones from then on.
+
+        Tables that an earlier call has published there and this one doesn't write are read from there too.
+        """
         loaded = F.unix_timestamp()
-        for name in sorted(tables, key=TABLES.index):
+        wanted = sorted(tables, key=TABLES.index)
+        for name in TABLES:
+            if name not in wanted and built(self.spark, os.path.join(path, name)):
+                self._use(name, os.path.join(path, name))
+        for name in wanted:
             target = os.path.join(path, name)
             rows = self.table(name).withColumn("_loaded_at_ts", loaded)
             if name in FACT_LAYOUT and incremental:
                 key, date, sort = FACT_LAYOUT[name]
+                finish_upsert(self.spark, target, date, sort)
+                rows = self._recent(name, target, date).withColumn("_loaded_at_ts", loaded)
                 upsert_table(rows, target, key, date, sort)
             else:
                 if name in FACT_LAYOUT:
@@ -113,9 +129,30 @@ class Warehouse:
                 else:
                     date, split, sort = LAYOUT.get(name, (None, MONTH, [self.table(name).columns[0]]))
                 write_table(rows, target, date, sort, split)
-            written = self.spark.read.parquet(target).drop("_loaded_at_ts", MONTH, YEAR)
-            self.__dict__[name] = written
-            self._published.add(name)
+            self._use(name, target)
+
+    def _use(self, name: str, path: str) -> None:
+        self._files[name] = self.spark.read.parquet(path).drop("_loaded_at_ts")
+        self.__dict__[name] = self._files[name].drop(MONTH, YEAR)
+        self._published.add(name)
+
+    def _recent(self, name: str, target: str, date: str) -> DataFrame:
+        """A fact to refresh ``target`` with; read from the recent months of its clean table where that is published.
+
+        Facts of order lines take their date from the order header, so their lines are read whole.
+        """
+        driver = DRIVERS.get(name)
+        if driver not in self._published or not built(self.spark, target):
+            return self.table(name)
+        newest = newest_date(self.spark.read.parquet(target), date)
+        lately = copy.copy(self)
+        lately.__dict__.pop(name, None)
+        lately.__dict__[driver] = recent_rows(self._files[driver], newest, date).drop(MONTH)
+        return lately.table(name)
+
+    @cached_property
+    def _files(self) -> dict[str, DataFrame]:
+        return {}
 
     @cached_property
     def _published(self) -> set[str]:
@@ -250,7 +287,7 @@ class Warehouse:
     def fct_purchase_order_line(self) -> DataFrame:
         return facts.purchase_order_line(
             self.ods_purchase_order_lines,
-            self._lookup("ods_purchase_orders"),
+            self.ods_purchase_orders,
             self._lookup("dim_supplier"),
             self._lookup("dim_product"),
             self.calendar,
@@ -260,7 +297,7 @@ class Warehouse:
     def fct_sales_order_line(self) -> DataFrame:
         return facts.sales_order_line(
             self.ods_sales_order_lines,
-            self._lookup("ods_sales_orders"),
+            self.ods_sales_orders,
             self._lookup("dim_client"),
             self._lookup("dim_product"),
             self.calendar,
@@ -270,7 +307,12 @@ class Warehouse:
 
     @cached_property
     def gl_monthly(self) -> DataFrame:
-        return staged(monthly.gl_monthly(self.fct_gl_entry), "gl_monthly")
+        return monthly.gl_monthly(self.fct_gl_entry).persist()
+
+    def release(self) -> None:
+        """Give up the monthly ledger aggregate, if it was used."""
+        if "gl_monthly" in self.__dict__:
+            self.__dict__.pop("gl_monthly").unpersist()
 
     @cached_property
     def int_pnl_monthly(self) -> DataFrame:

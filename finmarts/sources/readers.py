@@ -34,14 +34,3 @@ def parquet_source(spark: SparkSession, folder: str) -> Source:
         return spark.read.schema(schema_of(table)).parquet(os.path.join(folder, table))
 
     return read
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan that yields fewer tasks than the cluster has cores one task per core.
-
-    A file written as a single row group is read by one task, which would then also
-    do all the work up to the first shuffle. Inputs with enough splits, as every
-    large table has, are returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -13,7 +13,13 @@ MONTH = "ym"
 #: Partition column of tables split by the year of a date.
 YEAR = "yr"
 
-PARTITION_BY = {MONTH: year_month, YEAR: F.year}
+#: Partition of rows without a date.
+UNDATED = 0
+
+PARTITION_BY = {
+    MONTH: lambda day: F.coalesce(year_month(day), F.lit(UNDATED)),
+    YEAR: lambda day: F.coalesce(F.year(day), F.lit(UNDATED)),
+}
 
 
 def arranged(df: DataFrame, date: str | None, sort: Sequence[str] = (), by: str = MONTH) -> DataFrame:

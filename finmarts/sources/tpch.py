@@ -17,14 +17,11 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finmarts.sources.readers import Source, spread
+from finmarts.sources.readers import Source
 from finmarts.sources.schemas import schema_of
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-#: Tables with one row per business event, whose derivation is worth spreading.
-FACT_TABLES = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_partkey"], "events": ["event_id"]}
-
 #: Load versions of a dimension row: every third key was loaded twice.
 SPARK_VERSIONS = "explode(if({key} % 3 = 0, array(0, 1), array(0)))"
 
@@ -80,8 +77,8 @@ _HALF_PRICE = f"cast(cast(floor(cast({_PRICE} * 100 as bigint) / 2) as decimal(1
 STATEMENTS: dict[str, str] = {
     "stg_company": f"""
     select cast(r_regionkey + 1 as bigint) as company_id, concat(' ', r_name, ' Trading ') as company_name,
-        concat(r_name, ' ') as company_short, concat('77432158', lpad(cast(r_regionkey as string), 2, '0')) as inn,
-        '774301001' as kpp, concat(r_name, ', 1') as legal_address, 'FMCG Distribution' as industry,
+        concat(r_name, ' ') as company_short, concat('10', lpad(cast(r_regionkey as string), 8, '5')) as inn,
+        '100000001' as kpp, concat(r_name, ', 1') as legal_address, 'Wholesale' as industry,
         ' RUB' as base_currency, cast(r_regionkey * 2 + 1 as int) as fiscal_year_start_month,
         date '1990-01-01' + cast(r_regionkey * 400 as int) as founded_at,
         {_load("1C", "md5(r_name)", "'batch_0001'", "date '2001-07-01'",
@@ -140,7 +137,7 @@ STATEMENTS: dict[str, str] = {
     from (select *, {{versions_p_partkey}} as v from {{part}}) as p""",
     "stg_accounts": f"""
     select cast(n_nationkey + 1 as bigint) as account_id, concat(' ACC-', n_name) as account_code,
-        concat(n_name, ' ') as account_name,
+        concat(n_name, {_RENAMED}) as account_name,
         case when n_nationkey < 15 and n_nationkey % 6 = 0 then 'Revenue' when n_nationkey < 15 then 'Expense'
             when n_nationkey % 5 in (0, 1) then 'Asset' when n_nationkey % 5 in (2, 3) then 'Liability'
             else 'Equity' end as account_type,
@@ -159,8 +156,8 @@ STATEMENTS: dict[str, str] = {
         cast(n_nationkey % 2 as int) as is_monetary,
         case when n_nationkey < 15 and n_nationkey % 6 = 0 then 'Credit' when n_nationkey < 15 then 'Debit'
             when n_nationkey % 5 in (0, 1) then ' Debit' else 'CREDIT' end as normal_balance,
-        {_load("1C", "md5(n_name)", "'batch_0001'", "date '2001-07-01'")}
-    from {{nation}}""",
+        {_versioned("1C", "account", "n_nationkey")}
+    from (select *, {{versions_n_nationkey}} as v from {{nation}}) as n""",
     "stg_purchase_orders": f"""
     select o_orderkey as po_id, concat('PO', cast(o_orderkey as string), ' ') as po_code,
         o_orderkey % 100 as supplier_id, o_orderkey % 25 + 1 as warehouse_id, cast(o_orderdate as date) as po_date,
@@ -315,8 +312,7 @@ def tpch_source(spark: SparkSession, folder: str) -> Source:
 
     @cache
     def base(name: str) -> DataFrame:
-        table = spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
-        return spread(table, *FACT_TABLES[name]) if name in FACT_TABLES else table
+        return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
     def read(table: str) -> DataFrame:
         inputs = {name: base(name) for name in BASE_TABLES if f"{{{name}}}" in STATEMENTS[table]}

@@ -3,9 +3,10 @@
 from decimal import Decimal
 
 import pytest
-from conftest import day, rows
+from conftest import DATA, day, rows
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from finmarts.functions.calendar import CalendarRange
 from finmarts.operators.latest import latest
 from finmarts.operators.lookups import lookup_side
@@ -59,3 +60,12 @@ def test_hot_key_of_the_fact_side_is_split(spark, plan, small_skew_limits):
     text = plan(counted)
     assert "SortMergeJoin(skew=true)" in text
     assert sum(r.n for r in counted.collect()) == 400000
+
+
+@pytest.mark.parametrize("name", ["fct_sales_order_line", "fct_purchase_order_line"])
+def test_orders_are_not_dealt_out_round_robin(spark, name, small_skew_limits):
+    text = entry.warehouse(spark, DATA).table(name)._jdf.queryExecution().executedPlan().toString()
+    for line in text.split("\n"):
+        if "RoundRobin" in line:
+            below = text.split(line)[1].split("Exchange")[0]
+            assert "o_orderkey" not in below

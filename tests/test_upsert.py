@@ -3,13 +3,14 @@ from decimal import Decimal
 import pytest
 from conftest import day, rows
 
+from finmarts.operators import upsert
 from finmarts.operators.upsert import merge_rows, recent_rows, upsert_table
 
 FACT = "id bigint, d date, amount decimal(18,2)"
 
 
 def fact(spark, *data):
-    return spark.createDataFrame([(i, day(d), Decimal(a)) for i, d, a in data], FACT)
+    return spark.createDataFrame([(i, day(d) if d else None, Decimal(a)) for i, d, a in data], FACT)
 
 
 @pytest.fixture
@@ -79,3 +80,60 @@ def test_empty_target_takes_every_row(spark):
     source = fact(spark, (1, "2024-01-01", "1.00"), (2, "2024-03-01", "2.00"))
     assert recent_rows(source, None, "d").count() == 2
     assert recent_rows(source, day("2024-03-03"), "d").count() == 1
+
+
+@pytest.mark.parametrize("dies", ["before", "between", "after"])
+def test_a_run_that_dies_is_finished_by_the_next(spark, path, monkeypatch, dies):
+    upsert_table(fact(spark, (1, "2024-02-10", "1.00"), (2, "2024-03-01", "2.00")), path, "id", "d")
+    source = fact(spark, (1, "2024-03-02", "1.50"), (2, "2024-03-01", "2.00"), (3, "2024-04-20", "3.00"))
+    whole = upsert._apply
+
+    def die(spark, path, date, sort, todo):
+        if dies == "between":
+            for month in todo["emptied"]:
+                upsert.files.delete(spark, f"{path}/ym={month}")
+        elif dies == "after":
+            whole(spark, path, date, sort, todo)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upsert, "_apply", die)
+    with pytest.raises(RuntimeError):
+        upsert_table(source, path, "id", "d")
+    monkeypatch.setattr(upsert, "_apply", whole)
+    upsert_table(source, path, "id", "d")
+    assert stored(spark, path) == rows(source)
+    assert not upsert.files.exists(spark, path + ".upsert")
+
+
+def test_first_run_without_rows(spark, path):
+    upsert_table(fact(spark), path, "id", "d")
+    source = fact(spark, (1, "2024-01-01", "1.00"))
+    upsert_table(source, path, "id", "d")
+    assert stored(spark, path) == rows(source)
+
+
+def test_first_run_that_died(spark, path, tmp_path):
+    (tmp_path / "fact" / "_temporary" / "0").mkdir(parents=True)
+    half = tmp_path / "fact" / "ym=202401"
+    fact(spark, (7, "2024-01-05", "7.00")).write.parquet(str(half))
+    source = fact(spark, (1, "2024-01-01", "1.00"))
+    upsert_table(source, path, "id", "d")
+    assert stored(spark, path) == rows(source)
+
+
+def test_rows_without_a_date(spark, path):
+    upsert_table(fact(spark, (1, None, "1.00"), (2, "2024-03-01", "2.00"), (3, None, "3.00")), path, "id", "d")
+    source = fact(spark, (1, "2024-03-02", "1.10"), (2, "2024-03-01", "2.00"), (3, None, "3.30"), (4, None, "4.00"))
+    upsert_table(source, path, "id", "d")
+    assert stored(spark, path) == rows(source)
+
+
+def test_a_source_with_months_is_pruned(spark, tmp_path):
+    from finmarts.sources.sinks import write_table
+
+    source = fact(spark, (1, "2024-01-01", "1.00"), (2, "2024-03-01", "2.00"), (3, None, "3.00"))
+    write_table(source, str(tmp_path / "clean"), "d")
+    recent = recent_rows(spark.read.parquet(str(tmp_path / "clean")), day("2024-03-02"), "d")
+    assert [r[0] for r in rows(recent, "id")] == [2, 3]
+    scan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "ym" in scan.split("PartitionFilters: [")[1].split("]")[0]
