@@ -29,3 +29,15 @@ def test_empty_table_has_no_failures(spark):
 
 def test_tables_have_expectations():
     assert set(TABLES) - set(EXPECTATIONS) == {"int_pnl_monthly", "int_balance_monthly", "int_sales_monthly"}
+
+
+def test_every_expected_check_is_declared():
+    import oracle
+    from finmarts.plans.expectations import EXPECTATIONS
+
+    declared = {
+        t: (list(c.not_null), list(c.unique), {k: list(v) for k, v in c.accepted.items()}, dict(c.conditions))
+        for t, c in EXPECTATIONS.items()
+    }
+    expected = {t: (f.split(), u.split(), a, c) for t, (f, u, a, c) in oracle.CHECKS.items()}
+    assert declared == expected
