@@ -32,6 +32,8 @@ PREFIXES = (4, 5, 6, 7)
 LEAST_TOXIC, LEAST_RATIO = 3, 3.0
 ROUNDS, LABEL_ERROR = 5, 0.02
 SAMPLE, RIDGE = 20_000, 1.0
+#: Labels of 12 bytes that are sent to every executor at most.
+BROADCAST_LABELS = 1_000_000
 #: Entries counted in a task before they are passed on.
 HELD = 400_000
 
@@ -258,8 +260,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: in
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(F.col("toxic").cast("int")).alias("toxic")
     )
+    if known.count() <= BROADCAST_LABELS:  # else the texts are shuffled to their labels
+        known = F.broadcast(known)
     labelled = texts.where("train").join(known, "doc_id").select("doc_id", "text", "toxic")
-    words = lexicon(written(labelled, "labelled-texts"), size)
+    words = lexicon(labelled, size)
     found = written(hits(texts, words), "lexicon-hits")
     with_label = written(
         found.join(known, "doc_id", "left").withColumn("label", F.when(F.col("train"), F.col("toxic").cast("double"))).drop("toxic"),
