@@ -426,7 +426,8 @@ def main_text(pages: DataFrame) -> DataFrame:
         fixed = F.array_contains(F.col("template"), F.struct(at.alias("slot"), b["hash"].alias("hash")))
         return ~b["apart"] & F.array_contains(F.col("wanted"), at) & ~F.coalesce(fixed, F.lit(False)) & (b["main"] | ~F.col("has_main"))
 
-    judged = mapped.join(hosts, "host", "left").withColumn("wanted", wanted).drop("content")
+    # written, so that its size is known before the pages move: they need no shuffle unless there are very many hosts
+    judged = written(mapped.join(hosts, "host", "left").withColumn("wanted", wanted).drop("content"), "page-verdicts")
     texts = F.transform(F.filter("blocks", kept), lambda b: b["text"])
     return (
         read.join(judged, ["host", "shape_hash"], "left")
