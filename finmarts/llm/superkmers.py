@@ -24,6 +24,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -381,16 +382,29 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     return done.select(F.nullif("doc_key", F.lit(NO_ID)).alias("doc_id"), "text_hash", "n_words", "n_removed", "kept")
 
 
-def removed_from(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def removed_from(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs`` without repeated passages, in its own columns, ``n_chars`` counted anew.
 
     A document with repeats keeps its other words, joined by one space; others keep their text as it is, and a
-    document that is repeated altogether keeps an empty text.
+    document that is repeated altogether keeps an empty text. Texts are shuffled once to their places.
     """
-    left = without_repeats(docs, window).where("n_removed > 0").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("kept").alias("__kept")
-    ).dropDuplicates(["__id", "__hash"])
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    text = F.coalesce("__kept", "text")
-    changed = docs.join(left, same, "left").withColumn("text", text)
+
+    def left(texts: pd.Series, starts: pd.Series, windows: pd.Series) -> pd.Series:
+        def cut(text, start, windows):
+            if start is None:
+                return text
+            words = words_of(text)
+            places = [{"start": a, "windows": n} for a, n in zip(start, windows)]
+            gone = covered(len(words), places, window).tolist()
+            return b" ".join(w for w, g in zip(words, gone) if not g).decode("utf-8", "surrogatepass")
+
+        return pd.Series([cut(*row) for row in zip(texts, starts, windows)], dtype=object)
+
+    per_doc = repeated_places(docs, window, gram).groupBy(F.col("doc_key").alias("__key"), F.col("text_hash").alias("__hash")).agg(
+        F.collect_list(F.struct("start", "windows")).alias("__places")
+    )
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    same = (key == F.col("__key")) & (F.xxhash64("text") == F.col("__hash"))
+    text = F.pandas_udf(left, "string")("text", "__places.start", "__places.windows")
+    changed = docs.join(per_doc, same, "left").withColumn("text", text)
     return changed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
