@@ -237,9 +237,12 @@ def fit_classifier(x: np.ndarray, target: np.ndarray, ridge: float = RIDGE, step
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - target) + penalty * weights
-        curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(penalty)
+        gradient, curve = penalty * weights, np.diag(penalty)
+        for i in range(0, len(x), 2000):
+            part = x[i : i + 2000].astype(np.float64)
+            p = 1 / (1 + np.exp(-np.clip(part @ weights, -30, 30)))
+            gradient += part.T @ (p - target[i : i + 2000])
+            curve += (part * (p * (1 - p) + 1e-6)[:, None]).T @ part
         weights = weights - np.linalg.solve(curve, gradient)
     return weights
 
@@ -279,7 +282,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: in
         x, target = [], []
         for batch in chosen.toArrow().to_batches():
             dense, n_words, levels = counts_of(batch, n)
-            x.append(features(dense, n_words, levels))
+            x.append(features(dense, n_words, levels).astype(np.float32))
             target.append(model.posterior(votes_of(dense, levels, v), batch.column("label").to_numpy(zero_copy_only=False)))
         weights = fit_classifier(np.concatenate(x), np.concatenate(target))
 
