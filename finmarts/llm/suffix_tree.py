@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from finmarts.llm.common import batches, held_out, lower_words_of, written
 
-DEPTH, LEAST_SHARE, LEAST_COUNT, DIVERGENCE = 5, 1e-7, 2, 3.0
+DEPTH, LEAST_SHARE, LEAST_COUNT, DIVERGENCE = 5, 2e-7, 2, 3.0
 BLOCK_BYTES = 16 << 20
 #: Symbols handled at once in a task.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 END = b"\n"
 SYMBOLS = 257
 
@@ -70,7 +70,7 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
         for batch in rows:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+            for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
                 grams, _ = symbols([lower_words_of(t) for t in part.column("text").to_pylist()], depth)
                 k, n = np.unique(grams, return_counts=True)
                 keys.append(k)
@@ -90,39 +90,47 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
     return docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _level(grams: DataFrame, k: int) -> DataFrame:
-    """(context, symbol, n, total, kinds) with contexts of ``k`` bytes."""
-    cut = grams.groupBy(F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")).agg(F.sum("n").alias("n"))
+def _levels(grams: DataFrame, depth: int, least: float) -> list[DataFrame]:
+    """For contexts of 0 to ``depth`` bytes with at least so many symbols: context, symbol, n, total, kinds."""
+    levels = []
     each = Window.partitionBy("context")
-    return (
-        cut.withColumn("context", F.shiftrightunsigned("gram", 8))
-        .withColumn("symbol", F.col("gram").bitwiseAND(255))
-        .withColumn("total", F.sum("n").over(each))
-        .withColumn("kinds", F.count(F.lit(1)).over(each))
-        .select("context", "symbol", "n", "total", "kinds")
-    )
+    for k in range(depth, -1, -1):
+        if k < depth:
+            shorter = F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")
+            grams = written(grams.groupBy(shorter).agg(F.sum("n").alias("n")), f"grams-{k}")
+        split = grams.withColumn("context", F.shiftrightunsigned("gram", 8)).withColumn("symbol", F.col("gram").bitwiseAND(255))
+        totals = split.withColumn("total", F.sum("n").over(each)).withColumn("kinds", F.count(F.lit(1)).over(each))
+        levels.insert(0, totals.where(F.col("total") >= least).select("context", "symbol", "n", "total", "kinds"))
+    return levels
+
 
+def tree(grams: DataFrame, depth: int, least_share: float, divergence: float) -> list[pa.Table]:
+    """The kept contexts of each level from 0 (the root) with their symbols: context, symbol, n, total, kinds.
 
-def tree(grams: DataFrame, depth: int, least_share: float, divergence: float) -> list[DataFrame]:
-    """The kept contexts of each level from 0 (the root) with their symbols: context, symbol, n, total, kinds."""
+    Contexts that are frequent enough are so few, whatever the corpus, that divergence is tested on the driver.
+    """
     total = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(LEAST_COUNT, least_share * total)
-    levels = [_level(grams, k).where(F.col("total") >= least) for k in range(depth + 1)]
-    kept: list[DataFrame] = []
-    deeper = None
+    levels = [t.toArrow() for t in _levels(grams, depth, max(LEAST_COUNT, least_share * total))]
+    deeper = np.empty(0, np.int64)
+    kept = []
     for k in range(depth, 0, -1):
-        shorter = levels[k - 1].select(
-            F.col("context").alias("suffix"), "symbol", F.col("n").alias("m"), F.col("total").alias("all")
-        )
-        suffix = F.col("context").bitwiseAND((1 << 8 * (k - 1)) - 1)
-        gain = F.col("n") * F.ln(F.col("n") / F.col("total") * F.col("all") / F.col("m"))
-        own = (
-            levels[k].withColumn("suffix", suffix).join(shorter, ["suffix", "symbol"])
-            .groupBy("context").agg(F.sum(gain).alias("gain")).where(F.col("gain") >= divergence).select("context")
-        )
-        chosen = own if deeper is None else own.union(deeper).distinct()
-        kept.insert(0, levels[k].join(chosen, "context", "left_semi"))
-        deeper = chosen.select(F.col("context").bitwiseAND((1 << 8 * (k - 1)) - 1).alias("context")).distinct()
+        long, short = levels[k], levels[k - 1]
+        context, symbol, n, all_n = (long.column(c).to_numpy() for c in ("context", "symbol", "n", "total"))
+        keys = (short.column("context").to_numpy() << 8) | short.column("symbol").to_numpy()
+        order = np.argsort(keys)
+        mask = (1 << 8 * (k - 1)) - 1
+        if len(n):
+            # a frequent context's suffix is at least as frequent, so that each of its grams is found
+            at = order[np.searchsorted(keys[order], ((context & mask) << 8) | symbol)]
+            usual = short.column("n").to_numpy()[at] / short.column("total").to_numpy()[at]
+            gain = n * np.log(n / all_n / usual)
+            each, place = np.unique(context, return_inverse=True)
+            own = each[np.bincount(place, gain) >= divergence]
+        else:
+            own = deeper[:0]
+        chosen = np.union1d(own, deeper)
+        kept.insert(0, long.filter(pa.array(np.isin(context, chosen))))
+        deeper = np.unique(chosen & mask)
     return [levels[0], *kept]
 
 
@@ -239,8 +247,8 @@ def scored(texts: DataFrame, dictionary: DataFrame, model, depth: int, tokens: i
                     part = batch.slice(a, b - a)
                     counts.update(zip(part.column("word").to_pylist(), part.column("count").to_pylist()))
                 else:
-                    for i in range(a, b, 1000):
-                        yield from finish(batch.slice(i, min(1000, b - i)))
+                    for i in range(a, b, 250):
+                        yield from finish(batch.slice(i, min(250, b - i)))
 
     both = words.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
     return both.mapInArrow(score, SCORED)
@@ -274,7 +282,7 @@ def language_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
     trained = trained or 0
     tokens, kinds = n + trained, v + (trained > 0)
     grams = written(gram_counts(texts.where(~F.col("held_out")), depth), "gram-counts")
-    model = spark.sparkContext.broadcast([t.toArrow() for t in tree(grams, depth, least_share, divergence)])
+    model = spark.sparkContext.broadcast(tree(grams, depth, least_share, divergence))
     result = scored(texts, dictionary, model, depth, tokens, trained)
     return result.select(
         "doc_id",

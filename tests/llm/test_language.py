@@ -68,7 +68,7 @@ def test_symbols_and_counts_match_brute_force(spark):
 
 def test_tree_keeps_suffixes_and_its_distributions_sum_to_one(spark):
     docs = odd.documents(spark)
-    levels = [t.toArrow() for t in st.tree(st.gram_counts(docs, 3), 3, 0.0, 5.0)]
+    levels = st.tree(st.gram_counts(docs, 3), 3, 0.0, 5.0)
     contexts = [set(t.column("context").to_pylist()) for t in levels]
     assert contexts[3]
     for k in (2, 3):
