@@ -95,25 +95,27 @@ class MultiIndex:
         self.tables = []
         for column in codes.T:
             order = np.argsort(column, kind="stable")
-            values, first = np.unique(column[order], return_index=True)
-            self.tables.append((values, np.append(first, len(column)), order))
+            values, first, place = np.unique(column[order], return_index=True, return_inverse=True)
+            bucket = np.empty(len(column), np.int64)
+            bucket[order] = place
+            self.tables.append((values, np.append(first, len(column)), order, bucket))
 
     def within(self, query: np.ndarray, radius: int) -> np.ndarray:
         """Every row whose code is within the radius."""
         near = radius // len(self.tables)
         probes = sum(math.comb(SUBSTRING, i) for i in range(near + 1))
         marked = np.zeros(len(self.codes), bool)
-        for (values, first, order), part in zip(self.tables, query):
+        for (values, first, order, bucket), part in zip(self.tables, query):
             if probes < len(values):
                 wanted = np.unique(part ^ flips(near))
                 at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
                 hit = at[values[at] == wanted]
             else:  # fewer buckets than probes: look at the buckets there are
                 hit = np.flatnonzero(np.bitwise_count(values ^ part) <= near)
-            if len(hit) * 2 > len(values):
+            if len(hit) > 8:
                 inside = np.zeros(len(values), bool)
                 inside[hit] = True
-                marked[order[np.repeat(inside, np.diff(first))]] = True
+                marked |= inside[bucket]
             else:
                 for b in hit.tolist():
                     marked[order[first[b] : first[b + 1]]] = True
