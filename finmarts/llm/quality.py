@@ -4,6 +4,8 @@ A line is normalised (A-Z in lower case, digits as 0, white space as single spac
 that stands in more than `HOST_SHARE` of the host's distinct documents, and in more than `LEAST_DOCUMENTS` of them, is
 removed; a document that keeps less than `KEPT_SHARE` of its words is depleted and goes. Documents with the same text
 count once, so that a clean document isn't taken for boilerplate because it was copied; copies are for deduplication.
+The pipeline's stage (`cleaned`) counts a group of near copies once for the same reason; the registered query's SQL
+counts distinct texts.
 
 Lines are counted with partial sums, so a line in a third of all documents shuffles a row a task. The lines above the
 limit are few by nature: a host whose documents have L lines on average has at most L / `HOST_SHARE` of them.
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from finmarts.llm.common import batches, written
+from finmarts.llm.near_copies import classes
 
 HOST_SHARE, LEAST_DOCUMENTS, KEPT_SHARE = 0.05, 10, 0.5
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
@@ -114,16 +117,22 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(figures: DataFrame, share: float = HOST_SHARE, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """One row per host: host_key, host_null and ``frequent``, the hashes of its lines above the limits."""
-    hosts = figures.select(
-        F.coalesce("host", F.lit("")).alias("host_key"), F.col("host").isNull().alias("host_null"), "text_hash", "lines"
+def frequent_lines(
+    figures: DataFrame, share: float = HOST_SHARE, least: int = LEAST_DOCUMENTS, groups: DataFrame | None = None
+) -> DataFrame:
+    """One row per host: host_key, host_null and ``frequent``, the hashes of its lines above the limits.
+
+    With ``groups`` (text_hash, group) the texts of a group count once, otherwise each distinct text does.
+    """
+    counted = figures.withColumn("group", F.col("text_hash")) if groups is None else figures.join(groups, "text_hash")
+    hosts = counted.select(
+        F.coalesce("host", F.lit("")).alias("host_key"), F.col("host").isNull().alias("host_null"), "group", "lines"
     )
-    sizes = hosts.groupBy("host_key", "host_null").agg(F.count_distinct("text_hash").alias("documents"))
+    sizes = hosts.groupBy("host_key", "host_null").agg(F.count_distinct("group").alias("documents"))
     counts = (
-        hosts.select("host_key", "host_null", "text_hash", F.explode("lines.line").alias("line"))
+        hosts.select("host_key", "host_null", "group", F.explode("lines.line").alias("line"))
         .groupBy("host_key", "host_null", "line")
-        .agg(F.count_distinct("text_hash").alias("holding"))
+        .agg(F.count_distinct("group").alias("holding"))
         .where(F.col("holding") > least)
     )
     above = (F.col("holding") > share * F.col("documents")) & (F.col("holding") > least)
@@ -135,7 +144,7 @@ def frequent_lines(figures: DataFrame, share: float = HOST_SHARE, least: int = L
     )
 
 
-def quality(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
+def quality(docs: DataFrame, kept_share: float = KEPT_SHARE, groups: DataFrame | None = None) -> DataFrame:
     """The verdict on each document: doc_id, its figures, base_failed, n_removed_words, kept and ``frequent``.
 
     A null or blank text has no words and fails; a null source is a host of its own; repeated rows are judged alike
@@ -143,7 +152,7 @@ def quality(docs: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
     """
     figures = written(measured(docs), "quality-figures")
     keyed = figures.withColumn("host_key", F.coalesce("host", F.lit(""))).withColumn("host_null", F.col("host").isNull())
-    judged = keyed.join(frequent_lines(figures), ["host_key", "host_null"], "left")
+    judged = keyed.join(frequent_lines(figures, groups=groups), ["host_key", "host_null"], "left")
     common = F.filter("lines", lambda x: F.array_contains(F.col("frequent"), x["line"]))
     removed = F.when(F.col("frequent").isNull(), F.lit(0)).otherwise(
         F.aggregate(common, F.lit(0).cast("long"), lambda total, x: total + x["words"])
@@ -167,8 +176,12 @@ def without_lines(text: str, frequent: list[int]) -> str:
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """The documents that pass, without the lines above the limits; the columns of ``docs``, whatever their names."""
-    verdicts = quality(docs).where("kept").select(
+    """The documents that pass, without the lines above the limits; the columns of ``docs``, whatever their names.
+
+    A group of near copies counts once when lines are counted, so that near-dedup can keep one of it.
+    """
+    groups = written(classes(docs).select("text_hash", "group").distinct(), "text-groups")
+    verdicts = quality(docs, groups=groups).where("kept").select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("frequent").alias("__frequent")
     ).dropDuplicates(["__id", "__hash"])
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))

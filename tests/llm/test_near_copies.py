@@ -3,7 +3,7 @@ import itertools
 import random
 
 import odd
-from finmarts.llm import near_copies, simhash
+from finmarts.llm import near_copies, quality, simhash
 
 
 def brute_similarity(a, b, width=5):
@@ -55,3 +55,20 @@ def test_groups_match_brute_force_at_every_similarity(spark):
         found = {r.doc_id: r.component_id for r in near_copies.classes(docs, hot=hot).collect()}
         assert [found[i] for i in range(len(texts))] == expected
     assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == set(expected)
+
+
+def test_near_copies_are_no_boilerplate_for_the_pipeline(spark):
+    """30 copies of an article, each with one other line, among 20 documents that share a true boilerplate line."""
+    lines = [" ".join(f"story{i}w{j}" for j in range(20)) for i in range(10)]
+    rows = [(n, "\n".join([*lines, f"advert{n} number{n}"]), "en", "host", 1, *odd.rows()[0][5:]) for n in range(30)]
+    notice = "Click 7 to accept things"
+    for n in range(100, 120):
+        own = " ".join(f"own{chr(97 + n - 100)}x{i}" for i in range(80))
+        rows.append((n, f"{notice}\n{own}", "en", "host", 1, *odd.rows()[0][5:]))
+    docs = odd.documents(spark, rows)
+    out = {r.doc_id: r.text for r in quality.cleaned(docs).collect()}
+    assert set(out) == {r[0] for r in rows}
+    assert all(out[n].split("\n")[:10] == lines for n in range(30))
+    assert not any(notice in text for text in out.values())
+    assert quality.quality(docs).where("kept and doc_id < 30").count() == 0  # the query's SQL counts distinct texts
+    assert {r.doc_id for r in simhash.one_of_each(quality.cleaned(docs)).collect()} == {0, *range(100, 120)}
