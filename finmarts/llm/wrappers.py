@@ -8,8 +8,8 @@
 3. Each skeleton node is aligned with a wrapper node, its slot. A text that most of a host's different pages hold in
    one slot is template. Slots that hold mostly links, and those that their element or its class name marks as menu,
    header, footer, sidebar, notice, advert, form or comments, are template too.
-4. The text of a page is the blocks in the remaining slots; where a host's wrapper has an article or a main
-   element with text, only the slots inside it.
+4. The text of a page is the blocks in the remaining slots; where the page itself has such blocks inside an article or
+   a main element, only these.
 """
 
 from __future__ import annotations
@@ -402,7 +402,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     slot = F.when(F.col("b.node") < F.size("slots"), F.col("slots")[F.col("b.node")])
     placed = block.join(mapped, ["host", "shape_hash"]).select(
         "host", slot.alias("slot"), F.col("b.hash").alias("hash"), "page_hash", F.col("b.apart").alias("apart"),
-        F.col("b.main").alias("main"), F.col("b.chars").alias("chars"), F.col("b.links").alias("links"),
+        F.col("b.chars").alias("chars"), F.col("b.links").alias("links"),
     )
     template = (
         placed.where("not apart").groupBy("host", "slot", "hash").agg(F.count_distinct("page_hash").alias("n"))
@@ -411,26 +411,21 @@ def main_text(pages: DataFrame) -> DataFrame:
         .where(F.col("n") >= TEMPLATE_SHARE * F.col("pages"))
         .groupBy("host").agg(F.collect_set(F.struct("slot", "hash")).alias("template"))
     )
-    kinds = placed.where("not apart").groupBy("host", "slot").agg(
-        F.max("main").alias("main"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
-    )
-    content = F.struct("slot", "main")
-    varying = kinds.where(F.col("links") <= LINK_SHARE * F.col("chars")).groupBy("host").agg(
-        F.collect_set(content).alias("content"), F.max("main").alias("has_main")
-    )
+    kinds = placed.where("not apart").groupBy("host", "slot").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    varying = kinds.where(F.col("links") <= LINK_SHARE * F.col("chars")).groupBy("host").agg(F.collect_set("slot").alias("wanted"))
     hosts = varying.join(template, "host", "left")
-    wanted = F.transform(F.filter("content", lambda c: c["main"] | ~F.col("has_main")), lambda c: c["slot"])
 
     def kept(b):
         at = F.col("slots")[b["node"]]
         fixed = F.array_contains(F.col("template"), F.struct(at.alias("slot"), b["hash"].alias("hash")))
-        return ~b["apart"] & F.array_contains(F.col("wanted"), at) & ~F.coalesce(fixed, F.lit(False)) & (b["main"] | ~F.col("has_main"))
+        return ~b["apart"] & F.array_contains(F.col("wanted"), at) & ~F.coalesce(fixed, F.lit(False))
 
     # written, so that its size is known before the pages move: they need no shuffle unless there are very many hosts
-    judged = written(mapped.join(hosts, "host", "left").withColumn("wanted", wanted).drop("content"), "page-verdicts")
-    texts = F.transform(F.filter("blocks", kept), lambda b: b["text"])
+    judged = written(mapped.join(hosts, "host", "left"), "page-verdicts")
+    content = read.join(judged, ["host", "shape_hash"], "left").withColumn("content", F.filter("blocks", kept))
+    inside = F.filter("content", lambda b: b["main"])
+    texts = F.transform(F.when(F.size(inside) > 0, inside).otherwise(F.col("content")), lambda b: b["text"])
     return (
-        read.join(judged, ["host", "shape_hash"], "left")
-        .withColumn("text", F.coalesce(F.array_join(texts, "\n"), F.lit("")))
+        content.withColumn("text", F.coalesce(F.array_join(texts, "\n"), F.lit("")))
         .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
     )

@@ -68,3 +68,14 @@ def test_parser_keeps_raw_text_and_closes_blocks():
     root, blocks = wrappers.parse("<div>a<script>if (x < '</p>') {}</script>b<p>c<ul><li>d<li>e</ul>f</div><!-- g <p> -->h")
     assert [t for _, t, _ in blocks] == ["ab", "c", "d", "e", "f", "h"]
     assert [n.tag for n, _, _ in blocks] == ["div", "p", "li", "li", "div", "#"]
+
+
+def test_main_elements_hold_for_their_own_page_only(spark):
+    rows = [
+        (3, "http://h.example/a", "<p>one<p>two", "", "", 1), (4, "http://h.example/b", "<p>broken <b attr='x", "", "", 1),
+        (5, "http://h.example/c", "<p>outside</p><article><div>deep", "", "", 1),
+        (6, "http://h.example/d", "<p>" + "long " * 50000 + "</p>", "", "", 1),
+        (7, "http://h.example/e", "a < b <3 & c &nbsp; d", "", "", 1), (8, "http://h.example/f", "<p>text</p><main></main>", "", "", 1),
+    ]
+    found = {r.page_id: r.text for r in wrappers.main_text(pages(spark, rows)).collect()}
+    assert found == {3: "one\ntwo", 4: "broken", 5: "deep", 6: ("long " * 50000).strip(), 7: "a < b <3 & c d", 8: "text"}
