@@ -70,12 +70,12 @@ ENDS_P = frozenset(
 
 
 class Node:
-    __slots__ = ("tag", "label", "apart", "main", "children", "number", "shape")
+    __slots__ = ("tag", "label", "apart", "main", "children", "number", "form", "shape")
 
     def __init__(self, tag: str, label: str, apart: bool, main: bool):
         self.tag, self.label, self.apart, self.main = tag, label, apart, main
         self.children: list[Node] = []
-        self.number, self.shape = 0, ""
+        self.number, self.form, self.shape = 0, 0, ""
 
 
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
@@ -186,44 +186,56 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
     return root, blocks
 
 
+def _distinct(children: list[Node]) -> list[Node]:
+    return [c for j, c in enumerate(children) if not j or c.form != children[j - 1].form]
+
+
 def number(root: Node) -> list[Node]:
-    """Collapse equal neighbouring siblings and number the tree in preorder; returns the nodes that stand for others."""
-
-    def shape(node: Node) -> str:
-        inner: list[str] = []
-        for child in node.children:
-            s = shape(child)
-            if not inner or inner[-1] != s:
-                inner.append(s)
-        node.shape = f"{node.label}({' '.join(inner)})" if inner else node.label
-        return node.shape
-
-    shape(root)
-    order: list[Node] = []
+    """Collapse equal neighbouring siblings and number the tree in preorder; returns the nodes that stand for others.
 
-    def same(a: Node, b: Node) -> None:
-        b.number = a.number
-        i = -1
-        for j, child in enumerate(b.children):
-            if not j or child.shape != b.children[j - 1].shape:
-                i += 1
-            same(distinct(a)[i], child)
-
-    def distinct(node: Node) -> list[Node]:
-        return [c for j, c in enumerate(node.children) if not j or c.shape != node.children[j - 1].shape]
-
-    def walk(node: Node) -> None:
-        node.number = len(order)
-        order.append(node)
-        last = None
-        for child in node.children:
-            if last is not None and child.shape == last.shape:
-                same(last, child)
-            else:
-                walk(child)
-                last = child
+    Pages nest as deep as they like, so that here and in the matching below nothing calls itself.
+    """
+    every, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        every.append(node)
+        stack += node.children
+    forms: dict[tuple, int] = {}
+    for node in reversed(every):
+        inner = tuple(c.form for c in _distinct(node.children))
+        node.form = forms.setdefault((node.label, inner), len(forms))
 
-    walk(root)
+    order: list[Node] = []
+    pending: list[tuple[Node, Node | None]] = [(root, None)]
+    while pending:
+        node, twin = pending.pop()
+        if twin is None:
+            node.number = len(order)
+            order.append(node)
+        else:
+            node.number = twin.number
+        twins = _distinct(twin.children) if twin is not None else _distinct(node.children)
+        i, below = -1, []
+        for j, child in enumerate(node.children):
+            i += not j or child.form != node.children[j - 1].form
+            below.append((child, None if twins[i] is child else twins[i]))
+        pending += reversed(below)
+
+    written_out: list[str] = []
+    todo: list[Node | str] = [root]
+    while todo:
+        part = todo.pop()
+        if isinstance(part, str):
+            written_out.append(part)
+            continue
+        written_out.append(part.label)
+        if part.children:
+            todo.append(")")
+            inner = _distinct(part.children)
+            for child in reversed(inner):
+                todo += [child, " "]
+            todo[-1] = "("
+    root.shape = "".join(written_out)
     return order
 
 
@@ -242,65 +254,120 @@ def read_shape(shape: str) -> list:
 
 
 def write_shape(tree: list) -> str:
-    return f"{tree[0]}({' '.join(map(write_shape, tree[1]))})" if tree[1] else tree[0]
+    out: list[str] = []
+    todo: list = [tree]
+    while todo:
+        part = todo.pop()
+        if isinstance(part, str):
+            out.append(part)
+            continue
+        out.append(part[0])
+        if part[1]:
+            todo.append(")")
+            for child in reversed(part[1]):
+                todo += [child, " "]
+            todo[-1] = "("
+    return "".join(out)
+
+
+class Matching:
+    """Simple tree matching between the subtrees of some trees; every pair of equal forms is solved once."""
+
+    def __init__(self, *trees: list):
+        every, stack = [], list(trees)
+        while stack:
+            node = stack.pop()
+            every.append(node)
+            stack += node[1]
+        self.form: dict[int, int] = {}
+        self.size: dict[int, int] = {}
+        forms: dict[tuple, int] = {}
+        for node in reversed(every):
+            key = (node[0], tuple(self.form[id(c)] for c in node[1]))
+            self.form[id(node)] = forms.setdefault(key, len(forms))
+            self.size[id(node)] = 1 + sum(self.size[id(c)] for c in node[1])
+        self.solved: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def __call__(self, a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
+        """Nodes that match, and the pairs of children that are aligned."""
+        form, solved = self.form, self.solved
+        stack = [(a, b)]
+        while stack:
+            x, y = stack[-1]
+            key = (form[id(x)], form[id(y)])
+            if key in solved:
+                stack.pop()
+            elif x[0] != y[0]:
+                solved[key] = 0, []
+            elif key[0] == key[1]:
+                solved[key] = self.size[id(x)], [(i, i) for i in range(len(x[1]))]
+            else:
+                missing = [(i, j) for i in x[1] for j in y[1] if i[0] == j[0] and (form[id(i)], form[id(j)]) not in solved]
+                if missing:
+                    stack += missing
+                else:
+                    solved[key] = self._children(x[1], y[1])
+        return solved[form[id(a)], form[id(b)]]
+
+    def _children(self, x: list, y: list) -> tuple[int, list[tuple[int, int]]]:
+        form, solved = self.form, self.solved
+        weight = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        pair = [[solved[form[id(i)], form[id(j)]][0] if i[0] == j[0] else 0 for j in y] for i in x]
+        for i in range(1, len(x) + 1):
+            for j in range(1, len(y) + 1):
+                both = weight[i - 1][j - 1] + pair[i - 1][j - 1]
+                weight[i][j] = max(weight[i - 1][j], weight[i][j - 1], both)
+        pairs, i, j = [], len(x), len(y)
+        while i and j:
+            if pair[i - 1][j - 1] and weight[i][j] == weight[i - 1][j - 1] + pair[i - 1][j - 1]:
+                pairs.append((i - 1, j - 1))
+                i, j = i - 1, j - 1
+            elif weight[i][j] == weight[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+        return 1 + weight[-1][-1], pairs[::-1]
 
 
 def matched(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching: nodes that match, and the pairs of children that are aligned."""
-    if a[0] != b[0]:
-        return 0, []
-    x, y = a[1], b[1]
-    if len(x) == len(y) and all(i == j for i, j in zip(x, y)):
-        return 1 + sum(map(_size, x)), [(i, i) for i in range(len(x))]
-    weight = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    pair = [[matched(i, j)[0] for j in y] for i in x]
-    for i in range(1, len(x) + 1):
-        for j in range(1, len(y) + 1):
-            both = weight[i - 1][j - 1] + pair[i - 1][j - 1]
-            weight[i][j] = max(weight[i - 1][j], weight[i][j - 1], both)
-    pairs, i, j = [], len(x), len(y)
-    while i and j:
-        if pair[i - 1][j - 1] and weight[i][j] == weight[i - 1][j - 1] + pair[i - 1][j - 1]:
-            pairs.append((i - 1, j - 1))
-            i, j = i - 1, j - 1
-        elif weight[i][j] == weight[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return 1 + weight[-1][-1], pairs[::-1]
-
-
-def _size(tree: list) -> int:
-    return 1 + sum(map(_size, tree[1]))
+    return Matching(a, b)(a, b)
 
 
 def merged(a: list, b: list) -> list:
     """The tree that holds both: aligned nodes once, the others in order between them."""
-    pairs = matched(a, b)[1]
-    out, i, j = [], 0, 0
-    for p, q in [*pairs, (len(a[1]), len(b[1]))]:
-        out += a[1][i:p] + b[1][j:q]
-        if p < len(a[1]) and q < len(b[1]):
-            out.append(merged(a[1][p], b[1][q]))
-        i, j = p + 1, q + 1
-    return [a[0], out]
+    match = Matching(a, b)
+    whole: list = [a[0], []]
+    todo = [(a, b, whole)]
+    while todo:
+        x, y, to = todo.pop()
+        i, j = 0, 0
+        for p, q in [*match(x, y)[1], (len(x[1]), len(y[1]))]:
+            to[1] += x[1][i:p] + y[1][j:q]
+            if p < len(x[1]) and q < len(y[1]):
+                to[1].append([x[1][p][0], []])
+                todo.append((x[1][p], y[1][q], to[1][-1]))
+            i, j = p + 1, q + 1
+    return whole
 
 
 def aligned(tree: list, wrapper: list) -> list[int]:
     """For each node of a skeleton, in preorder, its slot: the number of its wrapper node, -1 if it has none."""
+    match = Matching(tree, wrapper)
     slots: list[int] = []
-
-    def walk(node: list, to: list | None, at: int) -> None:
-        slots.append(at if to is not None else -1)
-        pairs = dict(matched(node, to)[1]) if to is not None else {}
-        for i, child in enumerate(node[1]):
-            if i in pairs:
-                j = pairs[i]
-                walk(child, to[1][j], at + 1 + sum(map(_size, to[1][:j])))
-            else:
-                walk(child, None, -1)
-
-    walk(tree, wrapper, 0)
+    todo: list[tuple[list, list | None, int]] = [(tree, wrapper, 0)]
+    while todo:
+        node, to, at = todo.pop()
+        slots.append(at)
+        below: list[tuple[list, list | None, int]] = [(child, None, -1) for child in node[1]]
+        if to is not None:
+            before, starts = at + 1, []
+            for child in to[1]:
+                starts.append(before)
+                before += match.size[id(child)]
+            for i, j in match(node, to)[1]:
+                below[i] = node[1][i], to[1][j], starts[j]
+        todo += reversed(below)
     return slots
 
 

@@ -79,3 +79,13 @@ def test_main_elements_hold_for_their_own_page_only(spark):
     ]
     found = {r.page_id: r.text for r in wrappers.main_text(pages(spark, rows)).collect()}
     assert found == {3: "one\ntwo", 4: "broken", 5: "deep", 6: ("long " * 50000).strip(), 7: "a < b <3 & c d", 8: "text"}
+
+
+def test_pages_of_any_depth(spark):
+    rows = [
+        (1, "http://deep.example/a", "<div>" * 5000 + "deep", "", "", 1),
+        (2, "http://deep.example/b", "<p>flat</p>" + "<div>" * 4000 + "deeper<p>one<p>two", "", "", 1),
+        (3, "http://deep.example/c", "<p>plain</p>", "", "", 1),
+    ]
+    found = {r.page_id: r.text for r in wrappers.main_text(pages(spark, rows)).collect()}
+    assert found == {1: "deep", 2: "flat\ndeeper\none\ntwo", 3: "plain"}
