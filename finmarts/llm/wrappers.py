@@ -7,7 +7,8 @@
    and merging the merged is the same operation, so a host of any size is dealt out over many tasks.
 3. Each skeleton node is aligned with a wrapper node, its slot. A text that most of a host's different pages hold in
    one slot is template. Slots that hold mostly links, and those that their element or its class name marks as menu,
-   header, footer, sidebar, notice, advert, form or comments, are template too.
+   header, footer, sidebar, notice, advert, form or comments, are template too. Names are read whole ("with-sidebar"
+   marks nothing), and a name alone doesn't decide about an element that holds most of its host's different texts.
 4. The text of a page is the blocks in the remaining slots; where the page itself has such blocks inside an article or
    a main element, only these.
 """
@@ -47,7 +48,7 @@ INLINE = frozenset(
 )
 #: Elements that are never part of an article.
 APART = frozenset("nav footer aside form head title button menu dialog fieldset textarea input option".split()) | SILENT
-#: Words in class names, ids and roles that mark such parts.
+#: Class names, ids and roles that mark such parts: one of these words, or a compound of them with `PLAIN` words.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
     "gdpr notice notices alert popup modal overlay sidebar side menu menubar nav navbar navigation breadcrumb breadcrumbs "
@@ -55,6 +56,13 @@ MARKS = frozenset(
     "share sharing social related recommended newsletter subscribe subscription signup login search widget pagination "
     "pager copyright complementary contentinfo skip".split()
 )
+PLAIN = frozenset(
+    "site page main global primary secondary top bottom left right inner outer wp js box bar bars area wrap wrapper "
+    "container section block blocks list item items group links link buttons button icons posts articles stories news "
+    "form field text body content the my col column".split()
+)
+#: A part that a name marks stays if it holds more than this share of a host's different texts.
+WHOLE_SHARE = 0.5
 MAIN = frozenset(["article", "main"])
 #: An opening tag of the key ends an open element of these.
 CLOSED_BY = {
@@ -70,10 +78,11 @@ ENDS_P = frozenset(
 
 
 class Node:
-    __slots__ = ("tag", "label", "apart", "main", "children", "number", "form", "shape")
+    __slots__ = ("tag", "label", "apart", "main", "marked", "above", "children", "number", "form", "shape")
 
-    def __init__(self, tag: str, label: str, apart: bool, main: bool):
+    def __init__(self, tag: str, label: str, apart: bool, main: bool, marked: bool = False, above: Node | None = None):
         self.tag, self.label, self.apart, self.main = tag, label, apart, main
+        self.marked, self.above = marked, above  # a name marks it; the next node above that a name marks
         self.children: list[Node] = []
         self.number, self.form, self.shape = 0, 0, ""
 
@@ -82,9 +91,10 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """The node's label (element and its names' words, digits left out), and whether a name marks it as apart."""
     if "=" not in attributes:
         return tag, False
-    words = [w for m in NAMES.finditer(attributes) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower())]
-    words = [w for w in words if not w.isdigit()]
-    return ".".join([tag, *words[:4]]), any(w in MARKS for w in words)
+    names = [n for m in NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split()]
+    split = [[w for w in WORDS.findall(n) if not w.isdigit()] for n in names]
+    marked = any(not MARKS.isdisjoint(words) and MARKS.union(PLAIN).issuperset(words) for words in split)
+    return ".".join([tag, *[w for words in split for w in words][:4]]), marked
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
@@ -175,9 +185,10 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
             open_nodes.append((tag, parent))
             continue
         flush()
-        apart = parent.apart or tag in APART or (marked and tag not in ("html", "body", "article", "main"))
-        apart = apart or (marked and tag == "article" and parent.main) or (tag == "header" and not parent.main)
-        node = Node(tag, label, apart, parent.main or tag in MAIN or label.endswith(".main"))
+        apart = parent.apart or tag in APART or (tag == "header" and not parent.main)
+        marked = marked and (tag not in ("html", "body", "article", "main") or (tag == "article" and parent.main))
+        above = parent if parent.marked else parent.above
+        node = Node(tag, label, apart, parent.main or tag in MAIN or label.endswith(".main"), marked, above)
         parent.children.append(node)
         links += tag == "a"
         open_nodes.append((tag, node))
@@ -373,14 +384,24 @@ def aligned(tree: list, wrapper: list) -> list[int]:
 
 PARSED = (
     "page_id long, url string, host string, shape string, shape_hash long, page_hash long, "
-    "blocks array<struct<node:int,apart:boolean,main:boolean,text:string,hash:bigint,chars:int,links:int>>"
+    "blocks array<struct<node:int,marks:array<int>,apart:boolean,main:boolean,text:string,hash:bigint,chars:int,links:int>>"
 )
 
 
+def _marks(node: Node | None) -> list[int]:
+    """Numbers of the nodes that a name marks, from this one up."""
+    found = []
+    while node is not None:
+        if node.marked:
+            found.append(node.number)
+        node = node.above
+    return found
+
+
 def parsed(pages: DataFrame) -> DataFrame:
     """Each page's host, skeleton and blocks."""
     block = pa.struct([
-        ("node", pa.int32()), ("apart", pa.bool_()), ("main", pa.bool_()), ("text", pa.string()), ("hash", pa.int64()),
+        ("node", pa.int32()), ("marks", pa.list_(pa.int32())), ("apart", pa.bool_()), ("main", pa.bool_()), ("text", pa.string()), ("hash", pa.int64()),
         ("chars", pa.int32()), ("links", pa.int32()),
     ])
     schema = pa.schema([
@@ -404,7 +425,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                     out["shape"].append(root.shape)
                     out["shape_hash"].append(hashed(root.shape))
                     out["blocks"].append([
-                        {"node": n.number, "apart": n.apart, "main": n.main, "text": t, "hash": hashed(t), "chars": len(t), "links": k}
+                        {"node": n.number, "marks": _marks(n), "apart": n.apart, "main": n.main, "text": t, "hash": hashed(t), "chars": len(t), "links": k}
                         for n, t, k in found
                     ])
                     out["page_hash"].append(hashed("\n".join(t for _, t, _ in found)))
@@ -465,27 +486,38 @@ def main_text(pages: DataFrame) -> DataFrame:
     shapes = read.select("host", "shape", "shape_hash").distinct()
     mapped = written(slots(shapes), "page-slots")
     sizes = read.groupBy("host").agg(F.count_distinct("page_hash").alias("pages"))
-    block = read.select("host", "shape_hash", "page_hash", F.explode("blocks").alias("b"))
+    block = read.select("host", "shape_hash", "page_hash", F.explode("blocks").alias("b")).where("not b.apart")
     slot = F.when(F.col("b.node") < F.size("slots"), F.col("slots")[F.col("b.node")])
     placed = block.join(mapped, ["host", "shape_hash"]).select(
-        "host", slot.alias("slot"), F.col("b.hash").alias("hash"), "page_hash", F.col("b.apart").alias("apart"),
-        F.col("b.chars").alias("chars"), F.col("b.links").alias("links"),
+        "host", slot.alias("slot"), F.col("b.hash").alias("hash"), "page_hash", F.col("b.chars").alias("chars"), F.col("b.links").alias("links"),
+        F.transform("b.marks", lambda m: F.col("slots")[m]).alias("marks"),
+    )
+    texts = placed.groupBy("host", "slot", "hash").agg(
+        F.count_distinct("page_hash").alias("n"), F.max("chars").alias("chars"), F.max("marks").alias("marks"),
+        F.max("links").alias("links"), F.sum("chars").alias("all_chars"), F.sum("links").alias("all_links"),
     )
+    texts = written(texts, "slot-texts")
     template = (
-        placed.where("not apart").groupBy("host", "slot", "hash").agg(F.count_distinct("page_hash").alias("n"))
-        .where(F.col("n") >= LEAST_PAGES)
+        texts.where(F.col("n") >= LEAST_PAGES)
         .join(sizes, "host")
         .where(F.col("n") >= TEMPLATE_SHARE * F.col("pages"))
         .groupBy("host").agg(F.collect_set(F.struct("slot", "hash")).alias("template"))
     )
-    kinds = placed.where("not apart").groupBy("host", "slot").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    kinds = texts.groupBy("host", "slot").agg(F.sum("all_chars").alias("chars"), F.sum("all_links").alias("links"))
     varying = kinds.where(F.col("links") <= LINK_SHARE * F.col("chars")).groupBy("host").agg(F.collect_set("slot").alias("wanted"))
-    hosts = varying.join(template, "host", "left")
+    # a name doesn't decide about what holds most of a host's different texts, unless these are links
+    below = texts.select("host", F.explode(F.array_distinct("marks")).alias("mark"), "chars", "links").groupBy("host", "mark")
+    below = below.agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    whole = texts.groupBy("host").agg(F.sum("chars").alias("whole"))
+    held = below.join(whole, "host").where((F.col("chars") > WHOLE_SHARE * F.col("whole")) & (F.col("links") <= LINK_SHARE * F.col("chars")))
+    stays = held.where("mark >= 0").groupBy("host").agg(F.collect_set("mark").alias("stays"))
+    hosts = varying.join(template, "host", "left").join(stays, "host", "left")
 
     def kept(b):
         at = F.col("slots")[b["node"]]
         fixed = F.array_contains(F.col("template"), F.struct(at.alias("slot"), b["hash"].alias("hash")))
-        return ~b["apart"] & F.array_contains(F.col("wanted"), at) & ~F.coalesce(fixed, F.lit(False))
+        named = F.exists(b["marks"], lambda m: ~F.coalesce(F.array_contains("stays", F.col("slots")[m]), F.lit(False)))
+        return ~b["apart"] & ~named & F.array_contains(F.col("wanted"), at) & ~F.coalesce(fixed, F.lit(False))
 
     # written, so that its size is known before the pages move: they need no shuffle unless there are very many hosts
     judged = written(mapped.join(hosts, "host", "left"), "page-verdicts")

@@ -89,3 +89,18 @@ def test_pages_of_any_depth(spark):
     ]
     found = {r.page_id: r.text for r in wrappers.main_text(pages(spark, rows)).collect()}
     assert found == {1: "deep", 2: "flat\ndeeper\none\ntwo", 3: "plain"}
+
+
+NAMED = """<body><div class="content with-sidebar no-header"><div class="article-header"><h1>Title {n}</h1></div>
+<div class="post related-work" id="search-results"><p>Story {n} goes on for some words.</p></div>
+<div class="sidebar"><p>Aside {n}</p></div></div><div id="site-footer"><p>Foot {n}</p></div></body>"""
+
+
+def test_names_are_read_whole_and_never_empty_a_page(spark):
+    rows = [(n, f"https://named.example/{n}", NAMED.replace("{n}", str(n)), "", "", 1) for n in range(8)]
+    wrapped = '<body><div class="widget"><p>Long story {n} of many words.</p><div class="comments"><p>Hi {n}</p></div></div></body>'
+    rows += [(n, f"https://w.example/{n}", wrapped.replace("{n}", str(n)), "", "", 1) for n in range(10, 18)]
+    found = {r.page_id: r.text for r in wrappers.main_text(pages(spark, rows)).collect()}
+    assert found == {n: f"Title {n}\nStory {n} goes on for some words." for n in range(8)} | {
+        n: f"Long story {n} of many words." for n in range(10, 18)
+    }
