@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -9,8 +8,6 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 from finmarts.session import get_spark  # noqa: E402
 
-DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -38,13 +35,3 @@ def plan():
         return df._jdf.queryExecution().executedPlan().toString()
 
     return run
-
-
-def day(text: str) -> dt.date:
-    return dt.date.fromisoformat(text)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)

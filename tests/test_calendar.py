@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import day, rows
+from helpers import day, rows
 from pyspark.sql import functions as F
 
 from finmarts.functions import calendar as cal

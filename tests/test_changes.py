@@ -1,4 +1,4 @@
-from conftest import day, rows
+from helpers import day, rows
 
 from finmarts.operators.changes import previous_month, year_to_date
 

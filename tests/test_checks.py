@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 from finmarts.operators.checks import Checks, run_checks
 from finmarts.plans.expectations import EXPECTATIONS

@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import DATA, day, rows
+from helpers import DATA, day, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

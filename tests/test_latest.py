@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 from pyspark.sql import functions as F
 
 from finmarts.operators.latest import latest, latest_live, replace_by_key, sum_merge

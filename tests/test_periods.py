@@ -2,7 +2,7 @@ import datetime as dt
 from collections import defaultdict
 from decimal import Decimal
 
-from conftest import day, rows
+from helpers import day, rows
 from pyspark.sql import functions as F
 
 from finmarts.functions.calendar import CalendarRange

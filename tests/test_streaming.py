@@ -2,7 +2,7 @@ import time
 from decimal import Decimal
 
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from finmarts.streaming.refresh import refresh_from
 

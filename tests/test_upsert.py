@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from finmarts.operators import upsert
 from finmarts.operators.upsert import merge_rows, recent_rows, upsert_table

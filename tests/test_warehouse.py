@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import DATA, day, rows
+from helpers import DATA, day, rows
 
 import __spark_entry__ as entry
 from finmarts.plans.reports import Reports
