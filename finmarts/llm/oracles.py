@@ -124,8 +124,38 @@ select d.doc_id, len(d.words)::bigint as n_words, (len(d.words) - coalesce(l.n,
 from d left join left_over l using (r)
 """
 
+SEARCH = rf"""
+with d as (
+    select row_number() over () as r, doc_id,
+        regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents where text is not null
+),
+sized as (select r, doc_id, terms, len(terms)::bigint as n from d where len(terms) > 0),
+totals as (select count(*)::bigint as docs, sum(n)::bigint as terms from sized),
+counted as (select r, term, count(*)::bigint as tf from (select r, unnest(terms) as term from sized) group by r, term),
+held as (select term, count(*)::bigint as df from counted group by term),
+items as (
+    select distinct item_id, text,
+        unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark where text is not null
+),
+scored as (
+    select i.item_id, i.text, s.r, s.doc_id, sum(
+        floor(1000 * ln((2 * t.docs + 2) / (2 * h.df + 1)))::bigint
+        * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (50 + (50 * s.n * t.docs) // t.terms)))
+    )::bigint as score
+    from items i join held h using (term) join counted c using (term) join sized s using (r), totals t
+    group by i.item_id, i.text, s.r, s.doc_id
+),
+ranked as (
+    select *, row_number() over (partition by item_id, text order by score desc, doc_id nulls last)::int as rank from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+
 ORACLE_SQL = {
     "op5_line_frequency_quality": QUALITY,
     "op7_splitting_tree_mix": MIX,
     "op10_super_kmer_substrings": SUBSTRINGS,
+    "op12_k2_treap_search": SEARCH,
 }

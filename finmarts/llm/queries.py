@@ -11,6 +11,7 @@ from finmarts.llm.mixing import digest_per_document
 from finmarts.llm.oracles import ORACLE_SQL  # noqa: F401
 from finmarts.llm.packing import pack_documents
 from finmarts.llm.quality import BASE, quality
+from finmarts.llm.ranked_search import best_documents
 from finmarts.llm.resampling import importance_ranks
 from finmarts.llm.simhash import components
 from finmarts.llm.suffix_tree import language_scores
@@ -67,6 +68,11 @@ def op10_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -83,5 +89,6 @@ QUERIES = {
     "op8_cost_balanced_packing": op8_cost_balanced_packing,
     "op9_covering_simhash": op9_covering_simhash,
     "op10_super_kmer_substrings": op10_super_kmer_substrings,
+    "op12_k2_treap_search": op12_k2_treap_search,
     "op13_importance_resampling": op13_importance_resampling,
 }

@@ -1,5 +1,6 @@
 """The queries that SQL can express, against DuckDB."""
 
+import os
 import compare
 import duckdb
 import odd
@@ -12,7 +13,7 @@ from finmarts.llm.queries import QUERIES
 from finmarts.llm.superkmers import without_repeats
 from pyspark.sql import functions as F
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 OPERATORS = {
     "op5_line_frequency_quality": lambda d: quality(d).select("doc_id", *BASE, "base_failed", "kept", "n_removed_words"),
@@ -26,11 +27,12 @@ OPERATORS = {
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_query(name, spark):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for name_ in ("documents", "benchmark"):
+        con.execute(f"create view {name_} as select * from '{SF}/{name_}.parquet'")
     assert compare.differences(QUERIES[name](spark, SF), con, ORACLE_SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", list(ORACLE_SQL))
+@pytest.mark.parametrize("name", list(OPERATORS))
 @pytest.mark.parametrize("some", ["odd", "empty"])
 def test_odd_documents(name, some, spark):
     rows = odd.rows() if some == "odd" else []

@@ -1,3 +1,4 @@
+import os
 import collections
 import math
 import zlib
@@ -41,7 +42,7 @@ def test_nothing_and_only_held_out(spark):
 
 
 def test_model_beats_the_base_on_training_texts_and_follows_repeats(spark):
-    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    docs = table(spark, os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"), "documents")
     scores = st.language_scores(docs).collect()
     trained = [r for r in scores if not r.held_out]
     assert sum(r.score for r in trained) > sum(r.base_score for r in trained)

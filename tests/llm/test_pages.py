@@ -1,3 +1,4 @@
+import os
 import html
 import re
 
@@ -5,7 +6,7 @@ import pyarrow.parquet as pq
 from finmarts.llm import wrappers
 from finmarts.llm.queries import QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def article(page):

@@ -1,3 +1,4 @@
+import os
 import collections
 
 import corpus_pipeline
@@ -6,7 +7,7 @@ import pytest
 from finmarts.llm import mixing, quality, superkmers
 from finmarts.llm.common import table
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 STAGES = dict(corpus_pipeline.STAGES)
 
 
