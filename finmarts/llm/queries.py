@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from finmarts.llm import byte_repeats
 from finmarts.llm.ann import nearest
 from finmarts.llm.common import table
 from finmarts.llm.encoding import tokenizer_path
@@ -68,6 +69,11 @@ def op10_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_linear_grouping_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = byte_repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
@@ -89,6 +95,7 @@ QUERIES = {
     "op8_cost_balanced_packing": op8_cost_balanced_packing,
     "op9_covering_simhash": op9_covering_simhash,
     "op10_super_kmer_substrings": op10_super_kmer_substrings,
+    "op11_linear_grouping_dedup": op11_linear_grouping_dedup,
     "op12_k2_treap_search": op12_k2_treap_search,
     "op13_importance_resampling": op13_importance_resampling,
 }
