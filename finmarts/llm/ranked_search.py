@@ -33,8 +33,8 @@ BLOCK_DOCS, BLOCK_BYTES = 1 << 12, 1 << 24
 ITEMS = 2048
 #: Ranges expanded together.
 BATCH = 512
-#: Blocks searched beforehand for a lower bound of the k-th best score.
-PILOTS = 2
+#: Blocks searched beforehand, in one task, for a lower bound of the k-th best score.
+PILOTS = 1
 NO_ID = (1 << 63) - 1
 
 #: Digits, letters (A-Z lowered) and all bytes of other characters stay; what is left becomes a space.
