@@ -17,18 +17,19 @@ few blocks lets most blocks stop early without losing a document.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from finmarts.llm.byte_repeats import text_bytes
 from finmarts.llm.common import written
 
 TOP = 50
 #: Documents and bytes of text that make a block, whichever comes first.
-BLOCK_DOCS, BLOCK_BYTES = 1 << 12, 1 << 24
+BLOCK_DOCS, BLOCK_BYTES = 1 << 12, 1 << 23
 #: Items searched in one pass over the index; more items take more passes.
 ITEMS = 2048
 #: Ranges expanded together.
@@ -63,17 +64,19 @@ class Treap:
 
     ``children`` has four bits a node, one for each quadrant that isn't empty (row half times two plus column half),
     and ``largest`` the largest impact in its square. Cells have no children. ``first``, the number of a node's first
-    child, follows from the bits before it.
+    child, follows from the bits before it. One more node, found as -1, is empty and stands for no node.
     """
 
     def __init__(self, levels: int, children: np.ndarray, largest: np.ndarray) -> None:
-        self.levels, self.children, self.largest = levels, children, largest
-        counts = np.bitwise_count(children).astype(np.int64)
-        self.first = 1 + np.cumsum(counts) - counts
+        self.levels = levels
+        self.children = np.append(children, np.uint8(0))
+        self.largest = np.append(largest, np.uint32(0))
+        counts = np.bitwise_count(self.children)
+        self.first = (1 + np.cumsum(counts, dtype=np.int32) - counts).astype(np.int32)
 
 
-#: For each set of children, how many come before each quadrant; -1 where the quadrant is empty.
-BEFORE = np.array([[(c & (1 << q) - 1).bit_count() if c >> q & 1 else -1 for q in range(4)] for c in range(16)], np.int64)
+#: For each set of children times four plus a quadrant, how many children come before it; -1 where it is empty.
+BEFORE = np.array([(c & (1 << q) - 1).bit_count() if c >> q & 1 else -1 for c in range(16) for q in range(4)], np.int32)
 
 
 def build(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray) -> Treap:
@@ -82,7 +85,7 @@ def build(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray) -> Treap:
     levels = max(1, (side - 1).bit_length())
     code = (_spread(rows) << np.uint64(1)) | _spread(columns)
     order = np.argsort(code)
-    code, value = code[order], impacts[order].astype(np.int64)
+    code, value = code[order], impacts[order].astype(np.uint32)
     kinds, maxima = [np.zeros(len(code), np.uint8)], [value]
     for _ in range(levels):
         parent = code >> np.uint64(2)
@@ -96,10 +99,12 @@ def build(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray) -> Treap:
     return Treap(levels, np.concatenate(kinds), np.concatenate(maxima))
 
 
-def _descend(tree: Treap, nodes: np.ndarray, quadrant: np.ndarray) -> np.ndarray:
-    """The children of nodes in a quadrant each; -1 for no node."""
-    before = BEFORE[tree.children[nodes], quadrant]
-    return np.where((nodes >= 0) & (before >= 0), tree.first[nodes] + before, -1)
+def _halves(tree: Treap, nodes: np.ndarray, row_bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The children of nodes in the left and the right half of their documents, in the row half given for each."""
+    kids = tree.children[nodes] * np.int16(4) + 2 * row_bit
+    first = tree.first[nodes]
+    left, right = BEFORE[kids], BEFORE[kids + 1]
+    return np.where(left >= 0, first + left, -1), np.where(right >= 0, first + right, -1)
 
 
 def search(tree: Treap, rows: np.ndarray, weights: np.ndarray, top: int, least: int = 1, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +115,7 @@ def search(tree: Treap, rows: np.ndarray, weights: np.ndarray, top: int, least:
     none = np.empty(0, np.int64)
     if not len(rows):
         return none, none
-    largest = np.concatenate([tree.largest, [0]])  # -1 is no node and holds nothing
-    nodes = np.zeros((1, len(rows)), np.int64)
+    nodes = np.zeros((1, len(rows)), np.int32)
     bound = np.array([int(tree.largest[0] * weights.sum())])
     low, level = np.zeros(1, np.int64), np.zeros(1, np.int64)
     found_columns, found_scores = none, none
@@ -143,10 +147,9 @@ def search(tree: Treap, rows: np.ndarray, weights: np.ndarray, top: int, least:
         if not len(t_low):
             continue
         half = tree.levels - 1 - t_level
-        row_bit = (rows[None, :] >> half[:, None]) & 1
-        for column_bit in (0, 1):
-            children = _descend(tree, t_nodes, 2 * row_bit + column_bit)
-            bounds = (largest[children] * weights).sum(axis=1)
+        row_bit = ((rows[None, :] >> half[:, None]) & 1).astype(np.int16)
+        for column_bit, children in enumerate(_halves(tree, t_nodes, row_bit)):
+            bounds = tree.largest[children] @ weights
             some = bounds >= least
             bound = np.concatenate([bound, bounds[some]])
             low = np.concatenate([low, t_low[some] + (column_bit << half[some])])
@@ -176,17 +179,38 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: Sequence[str], most: int)
 
 
 def term_totals(docs: DataFrame) -> tuple[int, int]:
-    """How many documents hold a term, and how many terms there are in all."""
+    """How many documents hold a term, and how many terms there are in all: a term starts where a byte of one follows none."""
+    inside = np.frombuffer(TERM_BYTES, np.uint8) != 32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(terms_of(t.as_py())) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([sum(s > 0 for s in sizes)]), pa.array([sum(sizes)])], names=["n", "l"])
+            data, ends = text_bytes(batch.column(0))
+            n = total = 0
+            for first, last in slices(ends, 1 << 20):
+                a = int(ends[first - 1]) if first else 0
+                term = inside[data[a : int(ends[last - 1])]]
+                new = term.copy()
+                new[1:] &= ~term[:-1]
+                starts = np.concatenate([[0], ends[first:last] - a])
+                heads = starts[:-1][starts[:-1] < len(term)]
+                new[heads] = term[heads]
+                sizes = np.diff(np.concatenate([[0], np.cumsum(new, dtype=np.int64)])[starts])
+                n, total = n + int((sizes > 0).sum()), total + int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total])], names=["n", "l"])
 
     total = docs.select(F.col("text").cast("string")).mapInArrow(count, "n long, l long").agg(F.sum("n"), F.sum("l")).first()
     return total[0] or 0, total[1] or 0
 
 
+def slices(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(first text, one past the last): consecutive texts of about ``most`` bytes together, one at least."""
+    row = start = 0
+    while row < len(ends):
+        upto = max(row + 1, int(np.searchsorted(ends, start + most, side="right")))
+        yield row, upto
+        row, start = upto, int(ends[upto - 1])
+
+
 INDEX = "docs array<long>, terms array<binary>, holding array<long>, levels int, children binary, largest binary"
 
 
@@ -202,26 +226,22 @@ def build_index(docs: DataFrame, documents: int, terms: int, block_docs: int = B
         for ids, texts in _blocks(batches, ["doc_id", "text"], block_docs):
             # ascending ids, so that the smaller column is the smaller id; null ids come last
             order = sorted(range(len(ids)), key=lambda i: NO_ID if ids[i] is None else ids[i])
-            numbers: dict[bytes, int] = {}
-            rows, columns, impacts = [], [], []
-            for column, i in enumerate(order):
-                words = terms_of(texts[i])
-                if not words:
-                    continue
-                m = 50 + 50 * len(words) * documents // terms
-                found = Counter(words)
-                rows.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), np.int64, len(found)))
-                tf = np.fromiter(found.values(), np.int64, len(found))
-                impacts.append(1_000_000_000 * tf // (1000 * tf + 20 * m))
-                columns.append(np.full(len(found), column, np.int64))
-            if not rows:
+            numbers: defaultdict[bytes, int] = defaultdict()
+            numbers.default_factory = numbers.__len__
+            words = [terms_of(texts[i]) for i in order]
+            sizes = np.array([len(w) for w in words], np.int64)
+            if not sizes.sum():
                 continue
-            row = np.concatenate(rows)
-            tree = build(row, np.concatenate(columns), np.concatenate(impacts))
+            number = np.fromiter((numbers[w] for each in words for w in each), np.int64, int(sizes.sum()))
+            del words
+            cells, tf = np.unique((np.repeat(np.arange(len(sizes)), sizes) << 32) | number, return_counts=True)
+            column, row = cells >> 32, cells & 0xFFFFFFFF
+            m = 50 + 50 * sizes * documents // terms
+            tree = build(row, column, 1_000_000_000 * tf // (1000 * tf + 20 * m[column]))
             holding = np.bincount(row, minlength=len(numbers))
             out = [
-                [[ids[i] for i in order]], [list(numbers)], [holding.tolist()], [tree.levels], [tree.children.tobytes()],
-                [tree.largest.astype(np.uint32).tobytes()],
+                [[ids[i] for i in order]], [list(numbers)], [holding.tolist()], [tree.levels], [tree.children[:-1].tobytes()],
+                [tree.largest[:-1].tobytes()],
             ]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], schema=schema)
 
@@ -232,14 +252,14 @@ def build_index(docs: DataFrame, documents: int, terms: int, block_docs: int = B
 # --- the search --------------------------------------------------------------------
 
 
-def _opened(batch: pa.RecordBatch, row: int) -> tuple[list, list, np.ndarray, Treap]:
+def _opened(batch: pa.RecordBatch, row: int) -> tuple[list, list, Treap]:
     value = {n: batch.column(n)[row] for n in batch.schema.names}
     tree = Treap(
         value["levels"].as_py(),
         np.frombuffer(value["children"].as_buffer(), np.uint8),
-        np.frombuffer(value["largest"].as_buffer(), np.uint32).astype(np.int64),
+        np.frombuffer(value["largest"].as_buffer(), np.uint32),
     )
-    return value["docs"].as_py(), value["terms"].as_py(), value["holding"].values.to_numpy(), tree
+    return value["docs"].as_py(), value["terms"].as_py(), tree
 
 
 def document_frequencies(index: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
@@ -264,12 +284,13 @@ Query = tuple[int, list[bytes], list[int]]
 def _searched(index: DataFrame, queries: list[Query], top: int, least: dict[int, int]) -> DataFrame:
     """The best documents of every block for every query."""
     names = "query long, doc_id long, score long"
+    asked = {t for _, terms, _ in queries for t in terms}
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                docs, terms, _, tree = _opened(batch, at)
-                row_of = {t: i for i, t in enumerate(terms)}
+                docs, terms, tree = _opened(batch, at)
+                row_of = {t: i for i, t in enumerate(terms) if t in asked}
                 out: list[list] = [[], [], []]
                 for query, wanted, weights in queries:
                     here = [(row_of[t], w) for t, w in zip(wanted, weights) if t in row_of and w > 0]
@@ -282,7 +303,7 @@ def _searched(index: DataFrame, queries: list[Query], top: int, least: dict[int,
                     out[2] += scores.tolist()
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], names=["query", "doc_id", "score"])
 
-    return index.mapInArrow(find, names)
+    return index.drop("holding").mapInArrow(find, names)
 
 
 def best_documents(

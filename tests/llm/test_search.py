@@ -52,7 +52,7 @@ def test_tree_search_is_exact(seed):
     grid = np.where(rng.random((side, columns)) < 0.1, rng.integers(1, 50, (side, columns)), 0)
     row, column = grid.nonzero()
     tree = build(row, column, grid[row, column])
-    assert int(tree.largest[0]) == grid.max() and len(tree.children) == len(tree.largest)
+    assert int(tree.largest[0]) == grid.max() and len(tree.children) == len(tree.largest) == len(tree.first)
     for _ in range(20):
         rows = rng.choice(side, rng.integers(1, 12), replace=False)
         weights = rng.integers(1, 9, len(rows))
@@ -74,8 +74,8 @@ def test_search_opens_few_ranges_when_the_best_stand_out(monkeypatch):
     impacts[rng.choice(4096, 10, replace=False)] += 1000
     tree = build(np.zeros(4096, np.int64), column, impacts)
     opened = []
-    whole = ranked_search._descend
-    monkeypatch.setattr(ranked_search, "_descend", lambda t, nodes, q: opened.append(len(nodes)) or whole(t, nodes, q))
+    whole = ranked_search._halves
+    monkeypatch.setattr(ranked_search, "_halves", lambda t, nodes, bits: opened.append(len(nodes)) or whole(t, nodes, bits))
     got, _ = search(tree, np.array([0]), np.array([3]), 10, batch=4)
     assert sorted(got.tolist()) == sorted(np.flatnonzero(impacts > 1000).tolist())
     assert sum(opened) < 1000
@@ -96,6 +96,12 @@ def test_blocks_of_items_and_pilots(spark):
     assert found(best_documents(docs.repartition(5), items)) == expected
 
 
+def test_totals(spark):
+    docs = odd.documents(spark).repartition(2)
+    sizes = [len(terms(t)) for _, t in odd.TEXTS]
+    assert ranked_search.term_totals(docs) == (sum(n > 0 for n in sizes), sum(sizes))
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert best_documents(odd.documents(spark, []), items).count() == 0
