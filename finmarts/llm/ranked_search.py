@@ -29,7 +29,7 @@ from finmarts.llm.common import written
 
 TOP = 50
 #: Documents and bytes of text that make a block, whichever comes first.
-BLOCK_DOCS, BLOCK_BYTES = 1 << 12, 1 << 23
+BLOCK_DOCS, BLOCK_BYTES = 1 << 11, 1 << 22
 #: Items searched in one pass over the index; more items take more passes.
 ITEMS = 2048
 #: Ranges expanded together.
