@@ -1,41 +1,41 @@
 """Ranked lexical search with a K2-treap over the grid of terms and documents.
 
-A block of documents is a grid: a row for each of its terms, a column for each document, and in a cell the impact of
-the term in the document. The grid is a quadtree whose empty quadrants are left out; every node holds the largest
-impact in its square. The trees of all blocks are written as an index.
+A block of documents is a grid: a row for each term that an item asks for, a column for each document, and in a cell
+the impact of the term in the document. The grid is a quadtree whose empty quadrants are left out; every node holds the
+largest impact in its square.
 
 An item is a set of rows. Their paths descend the tree together: a state is a range of documents with, for each row,
 the node that holds the row and the range. The sum of the nodes' maxima, weighted by term, bounds what any document of
 the range can score; at a single document the nodes are the cells, so the bound is the score. Ranges are taken best
 first, a batch at a time, until no bound reaches the score of the k-th best document found.
 
-Every block gives its best documents for each item, and a rank over the blocks' lists gives the answer. Before that,
-the k-th best score of an item in any one block bounds its k-th best of all from below; the largest such score over a
-few blocks lets most blocks stop early without losing a document.
+A tree is built, searched for all items and given up in the task that reads the block's documents, so texts are neither
+shuffled nor stored. Every block gives its best documents for each item, and a rank over the blocks' lists gives the
+answer. Before that, an item's k-th best score in a first block bounds its k-th best of all from below, which lets the
+search of other blocks stop early without losing a document.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from finmarts.llm.byte_repeats import text_bytes
 from finmarts.llm.common import written
 
 TOP = 50
 #: Documents and bytes of text that make a block, whichever comes first.
-BLOCK_DOCS, BLOCK_BYTES = 1 << 11, 1 << 22
-#: Items searched in one pass over the index; more items take more passes.
-ITEMS = 2048
+BLOCK_DOCS, BLOCK_BYTES = 1 << 12, 1 << 24
+#: Items, with their terms, that a task is sent; more items take more passes over the documents.
+ITEMS = 1 << 14
 #: Ranges expanded together.
 BATCH = 512
-#: Blocks searched beforehand, in one task, for a lower bound of the k-th best score.
-PILOTS = 1
+#: Documents searched beforehand, in one task, for a lower bound of the k-th best score.
+PILOTS = 1 << 11
 NO_ID = (1 << 63) - 1
 
 #: Digits, letters (A-Z lowered) and all bytes of other characters stay; what is left becomes a space.
@@ -158,7 +158,7 @@ def search(tree: Treap, rows: np.ndarray, weights: np.ndarray, top: int, least:
     return found_columns, found_scores
 
 
-# --- the index ---------------------------------------------------------------------
+# --- documents ---------------------------------------------------------------------
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], names: Sequence[str], most: int) -> Iterator[list[list]]:
@@ -178,132 +178,74 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: Sequence[str], most: int)
         yield held
 
 
-def term_totals(docs: DataFrame) -> tuple[int, int]:
-    """How many documents hold a term, and how many terms there are in all: a term starts where a byte of one follows none."""
-    inside = np.frombuffer(TERM_BYTES, np.uint8) != 32
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, ends = text_bytes(batch.column(0))
-            n = total = 0
-            for first, last in slices(ends, 1 << 20):
-                a = int(ends[first - 1]) if first else 0
-                term = inside[data[a : int(ends[last - 1])]]
-                new = term.copy()
-                new[1:] &= ~term[:-1]
-                starts = np.concatenate([[0], ends[first:last] - a])
-                heads = starts[:-1][starts[:-1] < len(term)]
-                new[heads] = term[heads]
-                sizes = np.diff(np.concatenate([[0], np.cumsum(new, dtype=np.int64)])[starts])
-                n, total = n + int((sizes > 0).sum()), total + int(sizes.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total])], names=["n", "l"])
-
-    total = docs.select(F.col("text").cast("string")).mapInArrow(count, "n long, l long").agg(F.sum("n"), F.sum("l")).first()
-    return total[0] or 0, total[1] or 0
-
-
-def slices(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """(first text, one past the last): consecutive texts of about ``most`` bytes together, one at least."""
-    row = start = 0
-    while row < len(ends):
-        upto = max(row + 1, int(np.searchsorted(ends, start + most, side="right")))
-        yield row, upto
-        row, start = upto, int(ends[upto - 1])
-
-
-INDEX = "docs array<long>, terms array<binary>, holding array<long>, levels int, children binary, largest binary"
+Query = tuple[int, list[bytes], list[int]]
 
 
-def build_index(docs: DataFrame, documents: int, terms: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """A row for each block of documents: its ids, its terms with the number of documents that hold them, and its tree.
+def term_totals(docs: DataFrame, wanted: set[bytes]) -> tuple[int, int, dict[bytes, int]]:
+    """How many documents hold a term, how many terms there are in all, and in how many documents each wanted term is.
 
-    ``documents`` and ``terms`` are the totals of the whole table (`term_totals`).
+    A task sends its sums, a row for each wanted term it has met and one for the totals.
     """
-    kinds = [pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary()]
-    schema = pa.schema(list(zip([n.split()[0] for n in INDEX.split(", ")], kinds)))
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holding: Counter = Counter()
+        n = total = 0
+        for batch in batches:
+            for text in batch.column(0):
+                words = terms_of(text.as_py())
+                n, total = n + bool(words), total + len(words)
+                holding.update(wanted.intersection(words))
+        terms = [None, *holding]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(terms, pa.binary()), pa.array([n, *holding.values()], pa.int64()), pa.array([total] + [0] * len(holding), pa.int64())],
+            names=["term", "n", "l"],
+        )
+
+    sums = docs.select(F.col("text").cast("string")).mapInArrow(count, "term binary, n long, l long")
+    found = sums.groupBy("term").agg(F.sum("n").alias("n"), F.sum("l").alias("l")).collect()  # at most the wanted terms
+    totals = next(((r.n, r.l) for r in found if r.term is None), (0, 0))
+    return *totals, {bytes(r.term): r.n for r in found if r.term is not None}
+
+
+def _searched(
+    docs: DataFrame, queries: list[Query], documents: int, terms: int, top: int, least: dict[int, int], block_docs: int
+) -> DataFrame:
+    """The best documents of every block for every query; ``documents`` and ``terms`` are totals of the whole table."""
+    names = ["query", "doc_id", "score"]
+    row_of: dict[bytes, int] = {}
+    for _, wanted, _ in queries:
+        for t in wanted:
+            row_of.setdefault(t, len(row_of))
+    asked = [(q, np.array([row_of[t] for t in wanted], np.int64), np.array(weights, np.int64)) for q, wanted, weights in queries]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _blocks(batches, ["doc_id", "text"], block_docs):
             # ascending ids, so that the smaller column is the smaller id; null ids come last
             order = sorted(range(len(ids)), key=lambda i: NO_ID if ids[i] is None else ids[i])
-            numbers: defaultdict[bytes, int] = defaultdict()
-            numbers.default_factory = numbers.__len__
-            words = [terms_of(texts[i]) for i in order]
-            sizes = np.array([len(w) for w in words], np.int64)
-            if not sizes.sum():
+            sizes, cells = np.zeros(len(ids), np.int64), []
+            for column, i in enumerate(order):
+                words = terms_of(texts[i])
+                sizes[column] = len(words)
+                cells += [column << 32 | row_of[w] for w in words if w in row_of]
+            if not cells:
                 continue
-            number = np.fromiter((numbers[w] for each in words for w in each), np.int64, int(sizes.sum()))
-            del words
-            cells, tf = np.unique((np.repeat(np.arange(len(sizes)), sizes) << 32) | number, return_counts=True)
-            column, row = cells >> 32, cells & 0xFFFFFFFF
+            cells, tf = np.unique(np.array(cells, np.int64), return_counts=True)
+            columns, rows = cells >> 32, cells & 0xFFFFFFFF
             m = 50 + 50 * sizes * documents // terms
-            tree = build(row, column, 1_000_000_000 * tf // (1000 * tf + 20 * m[column]))
-            holding = np.bincount(row, minlength=len(numbers))
-            out = [
-                [[ids[i] for i in order]], [list(numbers)], [holding.tolist()], [tree.levels], [tree.children[:-1].tobytes()],
-                [tree.largest[:-1].tobytes()],
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], schema=schema)
+            tree = build(rows, columns, 1_000_000_000 * tf // (1000 * tf + 20 * m[columns]))
+            here = np.zeros(len(row_of), bool)
+            here[rows] = True
+            out: list[list] = [[], [], []]
+            for query, wanted, weights in asked:
+                some = here[wanted]
+                found, scores = search(tree, wanted[some], weights[some], top, least.get(query, 1))
+                out[0] += [query] * len(found)
+                out[1] += [ids[order[c]] for c in found.tolist()]
+                out[2] += scores.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], names=names)
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return written(chosen.mapInArrow(blocks, INDEX), "term-document-index")
-
-
-# --- the search --------------------------------------------------------------------
-
-
-def _opened(batch: pa.RecordBatch, row: int) -> tuple[list, list, Treap]:
-    value = {n: batch.column(n)[row] for n in batch.schema.names}
-    tree = Treap(
-        value["levels"].as_py(),
-        np.frombuffer(value["children"].as_buffer(), np.uint8),
-        np.frombuffer(value["largest"].as_buffer(), np.uint32),
-    )
-    return value["docs"].as_py(), value["terms"].as_py(), tree
-
-
-def document_frequencies(index: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
-    """In how many documents each wanted term occurs; sums travel, a row for each term and task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-        for batch in batches:
-            for terms, holding in zip(batch.column("terms"), batch.column("holding")):
-                for term, n in zip(terms.as_py(), holding.as_py()):
-                    if term in wanted:
-                        found[term] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["term", "n"])
-
-    sums = index.select("terms", "holding").mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return {bytes(r.term): r.n for r in sums.collect()}  # at most a block of items has terms
-
-
-Query = tuple[int, list[bytes], list[int]]
-
-
-def _searched(index: DataFrame, queries: list[Query], top: int, least: dict[int, int]) -> DataFrame:
-    """The best documents of every block for every query."""
-    names = "query long, doc_id long, score long"
-    asked = {t for _, terms, _ in queries for t in terms}
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                docs, terms, tree = _opened(batch, at)
-                row_of = {t: i for i, t in enumerate(terms) if t in asked}
-                out: list[list] = [[], [], []]
-                for query, wanted, weights in queries:
-                    here = [(row_of[t], w) for t, w in zip(wanted, weights) if t in row_of and w > 0]
-                    if not here:
-                        continue
-                    rows, w = (np.array(x, np.int64) for x in zip(*here))
-                    columns, scores = search(tree, rows, w, top, least.get(query, 1))
-                    out[0] += [query] * len(columns)
-                    out[1] += [docs[c] for c in columns.tolist()]
-                    out[2] += scores.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], names=["query", "doc_id", "score"])
-
-    return index.drop("holding").mapInArrow(find, names)
+    return chosen.mapInArrow(find, ", ".join(f"{n} long" for n in names))
 
 
 def best_documents(
@@ -321,8 +263,6 @@ def best_documents(
     a document is never found, such an item finds none. Columns other than the ids and texts are not read; an empty
     table on either side gives no rows.
     """
-    documents, terms = term_totals(docs)
-    index = build_index(docs, documents, terms, block_docs)
     ids = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     ids = written(ids.withColumn("query", F.monotonically_increasing_id()), "search-items")
     # blocks of items, so that what a task is sent is bounded whatever the number of items
@@ -332,15 +272,16 @@ def best_documents(
     for block in range(blocks):
         some = numbered.where(F.col("block") == block).select("query", "text").collect()
         wanted = {r["query"]: list(dict.fromkeys(terms_of(r["text"]))) for r in some}
-        holding = document_frequencies(index, {t for w in wanted.values() for t in w})
+        documents, terms, holding = term_totals(docs, {t for w in wanted.values() for t in w})
         weight = {t: math.floor(1000 * math.log((2 * documents + 2) / (2 * n + 1))) for t, n in holding.items()}
+        weight = {t: w for t, w in weight.items() if w > 0}
         queries = [(q, known, [weight[t] for t in known]) for q, w in wanted.items() if (known := [t for t in w if t in weight])]
         least: dict[int, int] = {}
-        if pilots:
-            nth = _searched(index.limit(pilots), queries, top, {})
+        if pilots and queries:
+            nth = _searched(docs.limit(pilots), queries, documents, terms, top, {}, pilots)
             nth = nth.groupBy("query").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).where(F.size("s") >= top)
             least = {r["query"]: r.s for r in nth.select("query", F.element_at("s", top).alias("s")).collect()}
-        found.append(_searched(index, queries, top, least))
+        found.append(_searched(docs, queries, documents, terms, top, least, block_docs))
     rows = found[0]
     for more in found[1:]:
         rows = rows.unionByName(more)

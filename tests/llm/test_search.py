@@ -98,8 +98,9 @@ def test_blocks_of_items_and_pilots(spark):
 
 def test_totals(spark):
     docs = odd.documents(spark).repartition(2)
-    sizes = [len(terms(t)) for _, t in odd.TEXTS]
-    assert ranked_search.term_totals(docs) == (sum(n > 0 for n in sizes), sum(sizes))
+    found = [terms(t) for _, t in odd.TEXTS]
+    expected = (sum(map(bool, found)), sum(map(len, found)), {b"word7": sum("word7" in t for t in found)})
+    assert ranked_search.term_totals(docs, {b"word7", b"unseen"}) == expected
 
 
 def test_empty_tables(spark):
