@@ -1,36 +1,35 @@
 """Incremental upsert of month-partitioned fact tables.
 
-An upsert first writes the new content of the months it touches beside the table, then a marker that names those
-months, and only then changes the table; the marker goes last. A run that finds a marker finishes that work before
-anything else, so a run may die at any point. A table counts as built once its ``_SUCCESS`` file is there.
+An upsert writes the new content of the months it touches into a folder of its own and then puts it in force by adding
+a manifest (`finmarts.sources.versions`). Until then readers see the old table, from then on the new one; a run that
+dies changes nothing, and the next starts from the table as it is.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from finmarts.operators.latest import latest
-from finmarts.sources import files
+from finmarts.sources import files, versions
 from finmarts.sources.sinks import MONTH, PARTITION_BY, arranged
 
 LOOKBACK_DAYS = 3
 
 
-def recent_rows(source: DataFrame, newest: dt.date | None, date: str, lookback: int = LOOKBACK_DAYS) -> DataFrame:
+def recent_rows(source: DataFrame, newest: dt.date | None, date: str | None, lookback: int = LOOKBACK_DAYS) -> DataFrame:
     """Source rows from the lookback window on and those without a date; all of them if the target is empty.
 
     The bound is a literal. Where the source keeps a month column of its files, it is bounded too, so that only
-    those months' folders are read.
+    those months' folders are read. A source without a date of its own (None) is bounded by month alone.
     """
     if newest is None:
         return source
     bound = F.lit(newest - dt.timedelta(days=lookback))
-    rows = source.where((F.col(date) >= bound) | F.col(date).isNull())
+    rows = source.where((F.col(date) >= bound) | F.col(date).isNull()) if date else source
     if MONTH in source.columns:
         month = F.col(MONTH)
         rows = rows.where((month >= PARTITION_BY[MONTH](bound)) | (month == PARTITION_BY[MONTH](F.lit(None).cast("date"))))
@@ -54,40 +53,6 @@ def newest_date(table: DataFrame, date: str) -> dt.date | None:
     return table.where(F.col(MONTH) == last_month).agg(F.max(date).alias("d")).first().d
 
 
-def built(spark: SparkSession, path: str) -> bool:
-    """Whether a build of the table at ``path`` has ended well."""
-    return files.exists(spark, f"{path}/_SUCCESS")
-
-
-def _stored(source: DataFrame, path: str) -> DataFrame:
-    """The table at ``path``, which may hold no files."""
-    schema = source.drop(MONTH).withColumn(MONTH, F.lit(0)).schema
-    return source.sparkSession.read.schema(schema).parquet(path)
-
-
-def _work(path: str) -> str:
-    return f"{path.rstrip('/')}.upsert"
-
-
-def _apply(spark: SparkSession, path: str, date: str, sort: Sequence[str], todo: dict) -> None:
-    """Bring the table to the staged content of the months named; doing it again changes nothing."""
-    merged = spark.read.parquet(todo["merged"])
-    for month in todo["emptied"]:
-        files.delete(spark, f"{path}/{MONTH}={month}")
-    arranged(merged, date, sort).write.partitionBy(MONTH).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
-
-
-def finish_upsert(spark: SparkSession, path: str, date: str, sort: Sequence[str] = ()) -> None:
-    """Finish the work of a run that died, if there is any, and clear what it left beside the table."""
-    marker = f"{_work(path)}/todo.json"
-    if files.exists(spark, marker):
-        _apply(spark, path, date, sort, json.loads(files.read_text(spark, marker)))
-        files.delete(spark, marker)
-    files.delete(spark, _work(path))
-
-
 def upsert_table(
     source: DataFrame,
     path: str,
@@ -96,42 +61,37 @@ def upsert_table(
     sort: Sequence[str] = (),
     lookback: int | None = LOOKBACK_DAYS,
     version: Sequence[str] = (),
-) -> None:
-    """Delete-and-insert by key into the month-partitioned parquet table at ``path``.
+) -> versions.Manifest:
+    """Delete-and-insert by key into the month-partitioned table at ``path``; the state that is in force afterwards.
 
     Only months that hold a batch key or receive a batch row are rewritten; a key may have moved to another month.
     Rows without a date are always part of the batch and lie in a month of their own. ``lookback`` None takes every
     row of ``source``. With ``version`` columns a stored row stays unless the batch's is as new or newer.
     """
     spark = source.sparkSession
-    finish_upsert(spark, path, date, sort)
+    base = versions.manifest(spark, path)
     source = source.drop(MONTH) if lookback is None else source
-    if not built(spark, path):
-        arranged(source.drop(MONTH), date, sort).write.partitionBy(MONTH).mode("overwrite").parquet(path)
-        return
-    target = _stored(source, path)
+    if base is None:
+        return versions.replace(arranged(source.drop(MONTH), date, sort), path, MONTH)
+    target = versions.read(spark, path, base)
     rows = source if lookback is None else recent_rows(source, newest_date(target, date), date, lookback)
-    work, name = _work(path), uuid.uuid4().hex
-    rows.drop(MONTH).write.parquet(f"{work}/batch-{name}")
-    batch = spark.read.schema(source.drop(MONTH).schema).parquet(f"{work}/batch-{name}")
-    received = batch.select(PARTITION_BY[MONTH](F.col(date)).alias(MONTH))
-    holding = target.join(batch.select(key), key, "left_semi").select(MONTH)
-    # bounded by the number of calendar months
-    months = sorted(r[MONTH] for r in received.union(holding).distinct().collect())
-    if months:
-        affected = target.where(F.col(MONTH).isin(months)).drop(MONTH)
+    staged = f"{path}/_batch-{uuid.uuid4().hex}"
+    rows.drop(MONTH).write.parquet(staged)
+    try:
+        batch = spark.read.schema(source.drop(MONTH).schema).parquet(staged)
+        received = batch.select(PARTITION_BY[MONTH](F.col(date)).alias(MONTH))
+        holding = target.join(batch.select(key), key, "left_semi").select(MONTH)
+        # bounded by the number of calendar months
+        months = sorted(r[MONTH] for r in received.union(holding).distinct().collect())
+        if not months:
+            return base
+        affected = versions.at_partitions(target, MONTH, months).drop(MONTH)
         incoming = batch.select(*affected.columns)
         if version:
             both = affected.withColumn("_side", F.lit(0)).unionByName(incoming.withColumn("_side", F.lit(1)))
             merged = latest(both, [key], [*version, "_side"]).drop("_side")
         else:
             merged = merge_rows(affected, incoming, [key])
-        merged.write.parquet(f"{work}/merged-{name}")
-        filled = {
-            r[MONTH]
-            for r in spark.read.schema(affected.schema).parquet(f"{work}/merged-{name}")
-            .select(PARTITION_BY[MONTH](F.col(date)).alias(MONTH)).distinct().collect()
-        }
-        todo = {"merged": f"{work}/merged-{name}", "emptied": [m for m in months if m not in filled]}
-        files.write_text(spark, f"{work}/todo.json", json.dumps(todo))
-    finish_upsert(spark, path, date, sort)
+        return versions.replace_partitions(arranged(merged, date, sort), path, months, base)
+    finally:
+        files.delete(spark, staged)

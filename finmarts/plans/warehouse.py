@@ -3,8 +3,8 @@
 ``Warehouse(spark, source, as_of)`` gives every table as an attribute. Nothing runs
 until a table is used. The monthly ledger aggregate, which several reports share, is
 kept by Spark after its first use; ``release`` gives it up. ``publish`` writes tables
-layer by layer; layers above read what lies below the same path, and facts that
-already exist are refreshed incrementally.
+layer by layer; layers above read what lies below the same path, and what already
+exists there is refreshed by the keys, months and years that have changed.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from finmarts.functions.calendar import CalendarRange, dim_date
 from finmarts.operators.checks import run_checks
 from finmarts.operators.lookups import lookup_side
-from finmarts.operators.upsert import built, finish_upsert, newest_date, recent_rows, upsert_table
-from finmarts.plans import balance, cashflow, dims, facts, kpi, monthly, ods, pnl, receivables, sales
+from finmarts.operators.keyed import BUCKET, bucketed, merge_arrivals, unseen
+from finmarts.operators.upsert import newest_date, recent_rows, upsert_table
+from finmarts.plans import balance, cashflow, dims, facts, kpi, monthly, ods, pnl, receivables, refresh, sales
 from finmarts.plans.expectations import EXPECTATIONS
 from finmarts.sources.readers import Source
-from finmarts.sources.sinks import MONTH, YEAR, write_table
+from finmarts.sources import versions
+from finmarts.sources.sinks import MONTH, YEAR, arranged, laid_out_by, partition_of, write_table
 
 ODS = [
     "ods_company", "ods_accounts", "ods_clients", "ods_managers", "ods_products", "ods_suppliers", "ods_warehouses",
@@ -78,11 +80,36 @@ FACT_LAYOUT = {
     "fct_sales_order_line": ("order_line_id", "order_date", ["order_date", "client_id", "product_id", "order_line_id"]),
 }
 
-#: Fact -> the clean table with the same date that it has a row for each row of.
+#: Fact -> the clean table that gives its dates, and the lines below it with the key they share.
 DRIVERS = {
-    "fct_gl_entry": "ods_gl_postings",
-    "fct_invoice": "ods_invoices",
-    "fct_marketing_spend": "ods_marketing_spend",
+    "fct_gl_entry": ("ods_gl_postings", None, None),
+    "fct_invoice": ("ods_invoices", None, None),
+    "fct_marketing_spend": ("ods_marketing_spend", None, None),
+    "fct_purchase_order_line": ("ods_purchase_orders", "ods_purchase_order_lines", "po_id"),
+    "fct_sales_order_line": ("ods_sales_orders", "ods_sales_order_lines", "order_id"),
+}
+#: Lines -> (header, key, date of the header). Lines are laid out by the month of their header.
+HEADERS = {
+    "ods_purchase_order_lines": ("ods_purchase_orders", "po_id", "po_date"),
+    "ods_sales_order_lines": ("ods_sales_orders", "order_id", "order_date"),
+}
+#: Clean table -> (its staging table, key, dimension made from it row by row). These are kept by key.
+KEYED = {
+    "ods_accounts": ("stg_accounts", "account_id", "dim_account"),
+    "ods_clients": ("stg_clients", "client_id", "dim_client"),
+    "ods_managers": ("stg_managers", "manager_id", "dim_manager"),
+    "ods_products": ("stg_products", "product_id", "dim_product"),
+    "ods_suppliers": ("stg_suppliers", "supplier_id", "dim_supplier"),
+    "ods_warehouses": ("stg_warehouses", "warehouse_id", "dim_warehouse"),
+}
+KEYED_DIMS = {dim: (table, key) for table, (_, key, dim) in KEYED.items()}
+#: Aggregate -> facts it is made from; they are brought up to date by year.
+AGGREGATES = {
+    "int_pnl_monthly": ["fct_gl_entry"],
+    "int_balance_monthly": ["fct_gl_entry"],
+    "int_sales_monthly": ["fct_sales_order_line"],
+    "dm_pnl_periodic": ["fct_gl_entry"],
+    "dm_sales_marketing_periodic": ["fct_sales_order_line", "fct_marketing_spend"],
 }
 
 
@@ -107,53 +134,150 @@ class Warehouse:
     def publish(self, path: str, tables: Sequence[str] = TABLES, incremental: bool = True) -> None:
         """Write tables below ``path`` in layer order and use the written ones from then on.
 
-        Tables that an earlier call has published there and this one doesn't write are read from there too.
+        Tables that an earlier call has published there and this one doesn't write are read from there too. With
+        ``incremental`` facts are upserted, keyed tables merge what has arrived, and aggregates follow the months of
+        the facts that have changed; the result is the same as of a full build, if nothing older than the lookback
+        has changed. Read a published table with `finmarts.sources.versions.read`.
         """
-        loaded = F.unix_timestamp()
         wanted = sorted(tables, key=TABLES.index)
         for name in TABLES:
-            if name not in wanted and built(self.spark, os.path.join(path, name)):
-                self._use(name, os.path.join(path, name))
+            if name not in wanted and (state := versions.manifest(self.spark, os.path.join(path, name))):
+                self._use(name, os.path.join(path, name), state)
         for name in wanted:
             target = os.path.join(path, name)
-            rows = self.table(name).withColumn("_loaded_at_ts", loaded)
-            if name in FACT_LAYOUT and incremental:
-                key, date, sort = FACT_LAYOUT[name]
-                finish_upsert(self.spark, target, date, sort)
-                rows = self._recent(name, target, date).withColumn("_loaded_at_ts", loaded)
-                upsert_table(rows, target, key, date, sort)
-            else:
-                if name in FACT_LAYOUT:
-                    _, date, sort = FACT_LAYOUT[name]
-                    split = MONTH
-                else:
-                    date, split, sort = LAYOUT.get(name, (None, MONTH, [self.table(name).columns[0]]))
-                write_table(rows, target, date, sort, split)
-            self._use(name, target)
-
-    def _use(self, name: str, path: str) -> None:
-        self._files[name] = self.spark.read.parquet(path).drop("_loaded_at_ts")
-        self.__dict__[name] = self._files[name].drop(MONTH, YEAR)
+            old = versions.manifest(self.spark, target) if incremental else None
+            self._use(name, target, self._write(name, path, target, old))
+
+    def _write(self, name: str, path: str, target: str, old: versions.Manifest | None) -> versions.Manifest:
+        loaded = F.unix_timestamp()
+        if name in FACT_LAYOUT:
+            key, date, sort = FACT_LAYOUT[name]
+            if old is None:
+                return write_table(self.table(name).withColumn("_loaded_at_ts", loaded), target, date, sort)
+            return upsert_table(self._recent(name, target, old, date).withColumn("_loaded_at_ts", loaded), target, key, date, sort)
+        if name in KEYED:
+            self._merge_staging(name, path)
+        if name in KEYED or name in KEYED_DIMS:
+            return self._write_keyed(name, target, old)
+        if name in HEADERS and HEADERS[name][0] in self._published:
+            return self._write_lines(name, target)
+        below = {fact: self._states[fact].folders for fact in AGGREGATES.get(name, []) if fact in self._published}
+        complete = bool(below) and set(below) == set(AGGREGATES[name])
+        if complete and old is not None and set(old.sources) == set(below):
+            return self._write_years(name, target, old, below)
+        date, split, sort = LAYOUT.get(name, (None, MONTH, [self.table(name).columns[0]]))
+        rows = self.table(name).withColumn("_loaded_at_ts", loaded)
+        return write_table(rows, target, date, sort, split, below if complete else None)
+
+    def _use(self, name: str, path: str, state: versions.Manifest) -> None:
+        self._files[name] = versions.read(self.spark, path, state).drop("_loaded_at_ts")
+        self._states[name] = state
+        self.__dict__[name] = self._files[name].drop(MONTH, YEAR, BUCKET)
         self._published.add(name)
 
-    def _recent(self, name: str, target: str, date: str) -> DataFrame:
-        """A fact to refresh ``target`` with; read from the recent months of its clean table where that is published.
+    def _with(self, **tables: DataFrame) -> Warehouse:
+        """This warehouse with other rows in some tables; what it has made from them is made again."""
+        other = copy.copy(self)
+        for name in [n for n in other.__dict__ if n in TABLES and n not in self._published] + ["gl_monthly"]:
+            other.__dict__.pop(name, None)
+        other.__dict__.update(tables)
+        return other
 
-        Facts of order lines take their date from the order header, so their lines are read whole.
+    def _recent(self, name: str, target: str, old: versions.Manifest, date: str) -> DataFrame:
+        """A fact to refresh ``target`` with; read from the recent months of its clean tables where those are published.
+
+        Lines are pruned by the month of their header if they were laid out by the headers that are in force.
         """
-        driver = DRIVERS.get(name)
-        if driver not in self._published or not built(self.spark, target):
+        driver, lines, _ = DRIVERS[name]
+        if driver not in self._published:
             return self.table(name)
-        newest = newest_date(self.spark.read.parquet(target), date)
-        lately = copy.copy(self)
-        lately.__dict__.pop(name, None)
-        lately.__dict__[driver] = recent_rows(self._files[driver], newest, date).drop(MONTH)
-        return lately.table(name)
+        newest = newest_date(versions.read(self.spark, target, old), date)
+        recent = {driver: recent_rows(self._files[driver], newest, date).drop(MONTH)}
+        if lines in self._published and self._states[lines].sources.get(driver) == self._states[driver].folders:
+            recent[lines] = recent_rows(self._files[lines], newest, None).drop(MONTH)
+        other = self._with(**recent)
+        other.__dict__.pop(name, None)
+        return other.table(name)
+
+    def _merge_staging(self, name: str, path: str) -> None:
+        """Bring the store of newest staging rows up to date and clean its rows instead of the whole history."""
+        staging, key, _ = KEYED[name]
+        store = os.path.join(path, "stores", staging)
+        arrived = unseen(self.source(staging), versions.manifest(self.spark, store))
+        self._states[staging] = state = merge_arrivals(arrived, store, key)
+        rows = versions.read(self.spark, store, state)
+        self._files[staging] = rows
+        clean, source = copy.copy(self), self.source
+        clean.__dict__.pop(name, None)
+        clean.source = lambda table: rows.drop(BUCKET) if table == staging else source(table)
+        self.__dict__[name] = clean.table(name)
+
+    def _write_keyed(self, name: str, target: str, old: versions.Manifest | None) -> versions.Manifest:
+        """A table with one row per key, by bucket; only buckets that have changed below are written again.
+
+        All are if the date that some columns depend on is another one.
+        """
+        below, key = (KEYED[name][0], KEYED[name][1]) if name in KEYED else KEYED_DIMS[name]
+        if name in KEYED_DIMS and below not in self._published:
+            rows = self.table(name).withColumn("_loaded_at_ts", F.unix_timestamp())
+            return write_table(rows, target, None, [key])
+        state = self._states[below]
+        buckets = int(state.marks["buckets"])
+        marks = {"buckets": str(buckets), "as_of": str(self.as_of)}
+        sources = {below: state.folders}
+        rows = self.table(name).withColumn("_loaded_at_ts", F.unix_timestamp())
+        if old is None or old.by != BUCKET or dict(old.marks) != marks or set(old.sources) != {below}:
+            return versions.replace(bucketed(rows, key, buckets), target, BUCKET, sources, marks)
+        reached = versions.changed(old.sources[below], state.folders)
+        if not reached:
+            return old
+        some = versions.at_partitions(self._files[below], BUCKET, reached).drop(BUCKET)
+        if name in KEYED:
+            other = copy.copy(self)
+            other.__dict__.pop(name, None)
+            other.source = lambda _: some
+        else:
+            other = self._with(**{below: some})
+            other.__dict__.pop(name, None)
+        rows = other.table(name).withColumn("_loaded_at_ts", F.unix_timestamp())
+        return versions.replace_partitions(bucketed(rows, key, buckets), target, reached, old, sources, marks)
+
+    def _write_lines(self, name: str, target: str) -> versions.Manifest:
+        """Order lines, laid out by the month of their header."""
+        header, key, date = HEADERS[name]
+        _, _, sort = LAYOUT[name]
+        months = self.table(header).select(key, partition_of(MONTH, F.col(date)).alias(MONTH))
+        rows = self.table(name).withColumn("_loaded_at_ts", F.unix_timestamp()).join(months, key, "left")
+        rows = rows.withColumn(MONTH, F.coalesce(MONTH, partition_of(MONTH, F.lit(None).cast("date"))))
+        return versions.replace(laid_out_by(rows, MONTH, sort), target, MONTH, {header: self._states[header].folders})
+
+    def _write_years(
+        self, name: str, target: str, old: versions.Manifest, below: dict[str, dict[int, str]]
+    ) -> versions.Manifest:
+        """An aggregate, of which the years are made again that changed months of its facts reach."""
+        months = sorted({m for fact, folders in below.items() for m in versions.changed(old.sources[fact], folders)})
+        if not months:
+            return old
+        periodic = name.startswith("dm_")
+        years = refresh.years_of_periods(months) if periodic else refresh.years_of(months)
+        read = refresh.months_of_periods(years) if periodic else refresh.months_of(years)
+        facts_ = {fact: refresh.between_months(self._files[fact], MONTH, read).drop(MONTH) for fact in below}
+        other = self._with(**facts_)
+        other.__dict__.pop(name, None)
+        date, split, sort = LAYOUT[name]
+        rows = other.table(name).where(partition_of(YEAR, F.col(date)).isin(years)).withColumn("_loaded_at_ts", F.unix_timestamp())
+        state = versions.replace_partitions(arranged(rows, date, sort, split), target, years, old, below)
+        other.release()
+        return state
 
     @cached_property
     def _files(self) -> dict[str, DataFrame]:
         return {}
 
+    @cached_property
+    def _states(self) -> dict[str, versions.Manifest]:
+        return {}
+
     @cached_property
     def _published(self) -> set[str]:
         return set()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -15,20 +18,39 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if there is no such folder."""
+    system, where = _at(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(where)) if system.exists(where) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, where = _at(spark, path)
     system.delete(where, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file; it appears under its name only when it is complete."""
+def write_new_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False if it does.
+
+    The file appears under its name whole, by one rename.
+    """
     system, where = _at(spark, path)
-    part = spark._jvm.org.apache.hadoop.fs.Path(path + ".part")
-    out = system.create(part, True)
+    folder, name = path.rsplit("/", 1)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+    out = system.create(part, False)
     out.write(bytearray(text.encode()))
     out.close()
-    system.delete(where, False)
-    system.rename(part, where)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark._jsc.hadoopConfiguration())
+    # without the option to overwrite
+    options = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(context.makeQualified(part), context.makeQualified(where), options)
+    except Py4JJavaError as error:
+        system.delete(part, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
 def read_text(spark: SparkSession, path: str) -> str:

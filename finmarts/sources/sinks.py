@@ -1,12 +1,13 @@
-"""Parquet sinks: full rebuild, partitioned by month or year of a date, sorted for pruning."""
+"""Parquet sinks with manifests: full rebuild, partitioned by month or year of a date, sorted for pruning."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from finmarts.functions.calendar import year_month
+from finmarts.sources.versions import Manifest, Sources, replace
 
 #: Partition column of tables split by the month of a date, as yyyymm.
 MONTH = "ym"
@@ -22,6 +23,10 @@ PARTITION_BY = {
 }
 
 
+def partition_of(by: str, day: Column) -> Column:
+    return PARTITION_BY[by](day)
+
+
 def arranged(df: DataFrame, date: str | None, sort: Sequence[str] = (), by: str = MONTH) -> DataFrame:
     """Rows laid out for writing: partition column added, balanced, sorted inside files.
 
@@ -31,15 +36,22 @@ def arranged(df: DataFrame, date: str | None, sort: Sequence[str] = (), by: str
     """
     if date is None:
         return df.sortWithinPartitions(*sort) if sort else df
-    keyed = df.withColumn(by, PARTITION_BY[by](F.col(date)))
+    return laid_out_by(df.withColumn(by, partition_of(by, F.col(date))), by, sort)
+
+
+def laid_out_by(keyed: DataFrame, by: str, sort: Sequence[str] = ()) -> DataFrame:
+    """As `arranged`, for rows that have their partition column."""
     return keyed.hint("rebalance", F.col(by)).sortWithinPartitions(by, *sort)
 
 
 def write_table(
-    df: DataFrame, path: str, date: str | None = None, sort: Sequence[str] = (), by: str = MONTH
-) -> None:
-    """Full rebuild of the table at ``path``, replacing what is there."""
-    writer = arranged(df, date, sort, by).write.mode("overwrite")
-    if date is not None:
-        writer = writer.partitionBy(by)
-    writer.parquet(path)
+    df: DataFrame,
+    path: str,
+    date: str | None = None,
+    sort: Sequence[str] = (),
+    by: str = MONTH,
+    sources: Sources | None = None,
+    marks: Mapping[str, str] | None = None,
+) -> Manifest:
+    """Full rebuild of the table at ``path``; readers see the old one until the new one is whole."""
+    return replace(arranged(df, date, sort, by), path, by if date is not None else None, sources, marks)

@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from helpers import day, rows
 
+from finmarts.sources import versions
 from finmarts.streaming.refresh import refresh_from
 
 ARRIVING = "id bigint, d date, amount decimal(18,2), version int"
@@ -23,7 +24,7 @@ def test_arriving_files_are_upserted_once(spark, tmp_path):
     arrive((1, "2024-01-30", "1.00", 1), (1, "2024-01-31", "1.50", 2), (2, "2024-02-01", "2.00", 1))
     arrive((2, "2024-02-02", "2.20", 2), (3, "2024-01-10", "9.00", 1), (4, "2024-01-31", "4.00", 1))
     arrive((5, "2024-02-03", "5.00", 1))
-    assert rows(spark.read.parquet(table), "id", "d", "amount") == [
+    assert rows(versions.read(spark, table), "id", "d", "amount") == [
         (1, day("2024-01-31"), Decimal("1.50")),
         (2, day("2024-02-02"), Decimal("2.20")),
         (3, day("2024-01-10"), Decimal("9.00")),  # arrivals are taken whatever their date
@@ -53,7 +54,7 @@ def test_the_cut_and_order_of_arrivals_do_not_matter(spark, tmp_path, files_at_o
     query = refresh_from(stream, table, "id", "d", checkpoint, order=["version"])
     query.awaitTermination(120)
     assert query.exception() is None
-    assert rows(spark.read.parquet(table), "id", "d", "amount") == [
+    assert rows(versions.read(spark, table), "id", "d", "amount") == [
         (1, day("2024-02-01"), Decimal("1.50")),
         (2, day("2024-03-01"), Decimal("2.20")),
         (3, day("2023-01-01"), Decimal("3.00")),
