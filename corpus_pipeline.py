@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
+    """The document with the smallest id of each group of near duplicates: fingerprints of three-word shingles, three bits."""
     return simhash.one_of_each(docs)
 
 
