@@ -22,9 +22,10 @@ from array import array
 import numpy as np
 
 SEPARATORS = re.compile("[\x1c-\x1f]")
-#: White space beside white space or at an end; other white space than space and line feed isn't printable.
-AWKWARD = re.compile(r"[ \n][ \n]|\A[ \n]|[ \n]\Z")
-#: Distinct words remembered by one worker; the memory is emptied when full, results do not depend on it.
+#: White space beside white space; other white space than space and line feed isn't printable.
+DOUBLE = ("  ", " \n", "\n ", "\n\n")
+#: Distinct words in one of the two memories of a worker: when the newer is full, it takes the place of the older, so
+#: that words which come again stay known. Results do not depend on it.
 REMEMBERED = 1 << 20
 #: Parts encoded in one call.
 RUN = 200
@@ -55,6 +56,7 @@ class Encoder:
             self.rule = cut_rule(json.load(f))
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -64,12 +66,15 @@ class Encoder:
         """The text in parts that are encoded alike wherever they stand; None: encode it whole."""
         if self.rule == "words":
             return None if SEPARATORS.search(text) or "\x00" in text else text.split()
-        if self.rule == "spaced" and text and "\x00" not in text and not AWKWARD.search(text):
-            if text.replace("\n", "").isprintable():
-                first, *rest = text.replace("\n", " \n").split(" ")
-                return ["\x00" + first, *rest]
+        if self.rule == "spaced" and text and "\x00" not in text and text[0] not in " \n" and text[-1] not in " \n":
+            if not any(pair in text for pair in DOUBLE):
+                return ("\x00" + text).replace("\n", " \n").split(" ")
         return None
 
+    def _unsafe(self, new: set[str]) -> set[str]:
+        """Parts met for the first time that hold white space, or what may count as such."""
+        return {p for p in new if not p.lstrip("\x00\n").isprintable()} if self.rule == "spaced" else set()
+
     def _runs(self, parts: list[str]) -> list[bytes]:
         """The ids of each part. Parts are encoded in runs, which is much cheaper than one by one, and cut by offsets."""
         gap = " " if self.rule == "words" else ""
@@ -91,9 +96,16 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
         new = set().union(*(ps for ps in parts if ps))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
         new -= self.known.keys()
+        if unsafe := self._unsafe(new):
+            parts = [None if ps and not unsafe.isdisjoint(ps) else ps for ps in parts]
+            new = set().union(*(ps for ps in parts if ps)) - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED:
+            self.older, self.known = self.known, {}
+            new = set().union(*(ps for ps in parts if ps))
+        again = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        new -= again
         if new:
             order = list(new)
             firsts = [p for p in order if p[0] == "\x00"]

@@ -30,6 +30,8 @@ SHARE, CAP = 1.5, 2.0
 BLOCK_WORDS, SHARD_WORDS = 4096, 1 << 20
 SEED = "mix-1"
 
+#: Stands for a null id.
+NO_ID = -(1 << 63)
 SOURCE = ["source_key", "source_null"]
 
 
@@ -75,7 +77,7 @@ def positions(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     """``docs`` with size, source_size, target and ``pos``, the words before the document in its source's order.
 
     Clashing columns are replaced. A null or empty text has size 0 and a null source is a source. Rows with the same
-    id stand beside each other, smaller sizes first; equal rows may stand in either order. An empty table stays empty.
+    id stand beside each other, smaller sizes first and then in the order of a hash of their text. An empty table stays empty.
     """
     sized = (
         docs.withColumn("size", words_in("text"))
@@ -83,18 +85,19 @@ def positions(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
         .withColumn("source_null", F.col("source").isNull())
         .withColumn("ticket", digest(seed, "doc_id"))
         .withColumn("range", F.substring("ticket", 1, 3))
+        .withColumn("tie", F.xxhash64("text"))
     )
     ranges = written(sized.groupBy(*SOURCE, "range").agg(F.sum("size").alias("words")), "mix-ranges")
     sources = ranges.groupBy(*SOURCE).agg(F.sum("words").alias("source_size"))
     before = ranges.select(*SOURCE, "range", _before("words", Window.partitionBy(*SOURCE).orderBy("range")).alias("range_pos"))
     placed = before.join(source_targets(sources, weights, share, cap), SOURCE)
-    inside = Window.partitionBy(*SOURCE, "range").orderBy("ticket", "size")
+    inside = Window.partitionBy(*SOURCE, "range").orderBy("ticket", "size", "tie")
     clashing = [c for c in ("source_size", "weight", "target", "range_pos", "pos") if c in docs.columns]
     return (
         sized.drop(*clashing)
         .join(placed, [*SOURCE, "range"])
         .withColumn("pos", (F.col("range_pos") + _before("size", inside)).cast("long"))
-        .drop("ticket", "range", "range_pos")
+        .drop("ticket", "range", "range_pos", "tie")
     )
 
 
@@ -162,10 +165,10 @@ def mix(placed: DataFrame, cap: float = CAP, block_words: int = BLOCK_WORDS, sha
     )
 
 
-def mixed_text(text: str = "text") -> Column:
+def mixed_text(text: str, length: str, size: str) -> Column:
     """The words a piece takes: the text itself if all of them, else the first ones joined by one space."""
-    first = F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("length").cast("int"))
-    return F.when(F.col("length") == F.col("size"), F.col(text)).otherwise(F.array_join(first, " "))
+    first = F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col(length).cast("int"))
+    return F.when(F.col(length) == F.col(size), F.col(text)).otherwise(F.array_join(first, " "))
 
 
 def digest_per_document(docs: DataFrame) -> DataFrame:
@@ -181,10 +184,19 @@ def digest_per_document(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as documents: a row for each piece, in the columns of ``docs``, shard by shard in the shards' order."""
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    placed = written(positions(docs.select("doc_id", "text", "source", row)).drop("text"), "mix-positions")
-    taken = mix(placed).withColumn("text", F.col("row.text"))
-    changed = {"text": mixed_text(), "n_chars": F.length(mixed_text()).cast("long")}
-    columns = [changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns]
-    return taken.repartition("shard").sortWithinPartitions("shard", "position").select(*columns)
+    """The mix as documents: a row for each piece, in the columns of ``docs``, shard by shard in the shards' order.
+
+    The mix is made of ids, hashes, sources and sizes; texts are joined to the finished pieces. Equal rows stand for
+    each other, so one of them gives its text to all their pieces.
+    """
+    keys = {"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__hash": F.xxhash64(*docs.columns)}
+    narrow = docs.withColumns(keys).select("doc_id", "text", "source", *keys)
+    taken = mix(written(positions(narrow).drop("text"), "mix-positions")).select(
+        *keys, *[F.col(c).alias(f"__{c}") for c in ("shard", "position", "length", "size")]
+    )
+    texts = docs.withColumns(keys).dropDuplicates(list(keys))
+    text = mixed_text("text", "__length", "__size")
+    whole = texts.join(taken, list(keys)).withColumn("text", text)
+    changed = {"n_chars": F.length("text").cast("long")}
+    ordered = whole.repartition("__shard").sortWithinPartitions("__shard", "__position")
+    return ordered.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])

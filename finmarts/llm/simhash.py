@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from finmarts.llm.common import batches, lower_words_of, written
 from finmarts.llm.components import connected_components
-from finmarts.llm.near_copies import classes
 
 SHINGLE, RADIUS = 3, 3
 HOT = 2048
@@ -181,13 +180,13 @@ def components(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, hot:
     return hashed.join(named, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The document with the smallest id of each group of near copies, one row of it; the columns of ``docs``.
+def one_of_each(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The document with the smallest id of each component, one row of it; the columns of ``docs``.
 
-    Groups are joined by pairs that share ``similarity`` of their different shingles; see `near_copies`. Fingerprints
-    can't give them: a pair of 80 % differs in ten of 64 bits, which no radius in reach of covering masks holds.
+    Of several texts with that id the one with the smallest hash stays. Of documents without an id one stays, if no
+    document with an id is in their component.
     """
-    found = classes(docs, width, similarity).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = components(docs, width, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = found.groupBy("doc_id").agg(F.min("text_hash").alias("__hash")).withColumnRenamed("doc_id", "__id")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
     return docs.join(kept, same).dropDuplicates(["doc_id"]).select(*docs.columns)

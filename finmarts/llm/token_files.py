@@ -16,6 +16,7 @@ follow each other in document order; a manifest table names them with their firs
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ def unpack(data: bytes, count: int, bits: int) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     wide = np.zeros((count, 4), np.uint8)
     if bits % 8 == 0:
-        wide[:, 4 - bits // 8 :] = raw[: count * bits // 8].reshape(count, -1)
+        wide[:, 4 - bits // 8 :] = raw[: count * bits // 8].reshape(count, bits // 8)
     else:
         full = np.zeros((count, 32), np.uint8)
         full[:, 32 - bits :] = np.unpackbits(raw)[: count * bits].reshape(count, bits)
@@ -193,9 +194,13 @@ def read_manifest(spark: SparkSession, folder: str, manifest: str | None = None)
     return shards.withColumn("first", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
-def read_token_files(manifest: DataFrame) -> DataFrame:
-    """The documents of a dataset: doc_id, start, n_tokens and ids (little-endian unsigned 32-bit)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+def read_token_files(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
+    """The documents of a dataset: doc_id, start, n_tokens, the checksum of their ids and, if asked for, the ids.
+
+    Ids are little-endian unsigned 32-bit numbers.
+    """
+    fields = [(n, pa.int64()) for n in ("doc_id", "start", "n_tokens", "ids_crc32")]
+    schema = pa.schema([*fields, *([("ids", pa.binary())] if with_ids else [])])
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -206,7 +211,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 with store.open_input_file(where) as stream:
                     out, held = {n: [] for n in schema.names}, 0
                     for doc_id, start, ids in Shard(stream).documents():
-                        for n, v in zip(schema.names, (doc_id, row["first"] + start, len(ids), ids.tobytes())):
+                        data = ids.tobytes()
+                        for n, v in zip(schema.names, (doc_id, row["first"] + start, len(ids), zlib.crc32(data), data)):
                             out[n].append(v)
                         held += len(ids)
                         if held > 1 << 20:
@@ -215,7 +221,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     yield from batches(out, schema)
 
     spread = manifest.select("path", "first").repartition(manifest.sparkSession.sparkContext.defaultParallelism, "path")
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 
 def token_range(manifest: DataFrame, start: int, stop: int) -> np.ndarray:

@@ -81,3 +81,21 @@ def test_one_of_each(spark):
     assert ids.count(1) == 1 and 2 not in ids and 14 in ids and 6 in ids and 7 not in ids
     assert ids.count(3) == 1 and 4 not in ids and 5 not in ids  # texts without words are alike
     assert simhash.one_of_each(odd.documents(spark, [])).count() == 0
+
+
+def test_one_of_each_against_brute_force(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randint(0, 400)}" for _ in range(120)]
+    texts = []
+    for _ in range(60):
+        changed = list(base) if rng.random() < 0.7 else [f"v{rng.randint(0, 999)}" for _ in range(100)]
+        for _ in range(rng.randint(0, 2)):
+            changed[rng.randrange(len(changed))] = "other"
+        texts.append(" ".join(changed))
+    prints = [simhash.fingerprint(t.encode().split()) for t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:  # smallest id reachable over links of three bits
+        root = [min(root[j] for j in range(len(texts)) if (prints[i] ^ prints[j]).bit_count() <= 3) for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert 1 < len(set(root)) < len(texts)
+    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == set(root)
