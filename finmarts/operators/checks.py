@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,28 +21,37 @@ class Checks:
 def run_checks(df: DataFrame, table: str, checks: Checks) -> DataFrame:
     """One row per check with the number of failing rows (for ``unique``: repeated values).
 
-    Row checks are counted inside each task and only totals travel. Uniqueness shuffles keys alone, those of a
-    table with several keys in one pass. Nulls pass the accepted-values and condition checks.
+    The table is planned and read once. Row checks are counted inside each task; where keys are to be unique, the
+    counts travel with the partial counts of the key values. Nulls pass the accepted-values and condition checks and
+    are no repeated value.
     """
     failing = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
     failing += [("accepted_values", c, ~F.col(c).isin(list(v))) for c, v in checks.accepted.items()]
     failing += [("expression_is_true", name, ~F.expr(e)) for name, e in checks.conditions.items()]
-    results = []
-    if failing:
-        counters = [F.count_if(condition).alias(f"_c{i}") for i, (_, _, condition) in enumerate(failing)]
-        names = [(kind, column, f"_c{i}") for i, (kind, column, _) in enumerate(failing)]
-        results.append(_report(df.agg(*counters), table, names))
-    if checks.unique:
-        each = [F.struct(F.lit(i).alias("_key"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(checks.unique)]
-        keys = df.select(F.inline(F.array(*each))).where("_value is not null")
-        repeated = keys.groupBy("_key", "_value").agg(F.count(F.lit(1)).alias("_rows"))
-        totals = repeated.agg(*[_repeated(i) for i in range(len(each))])
-        results.append(_report(totals, table, [("unique", c, f"_u{i}") for i, c in enumerate(checks.unique)]))
-    return reduce(DataFrame.unionByName, results)
+    names = [(kind, column, f"_c{i}") for i, (kind, column, _) in enumerate(failing)]
+    conditions = {f"_c{i}": condition for i, (_, _, condition) in enumerate(failing)}
+    if not checks.unique:
+        return _report(df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()]), table, names)
+    # a row for each key, of which the first brings the row checks
+    flags = {n: F.when(c, 1).otherwise(0) for n, c in conditions.items()}
+    each = [
+        F.struct(
+            F.lit(i).alias("_key"), F.col(column).cast("string").alias("_value"),
+            *[(flag if i == 0 else F.lit(0)).alias(n) for n, flag in flags.items()],
+        )
+        for i, column in enumerate(checks.unique)
+    ]
+    rows = df.select(F.inline(F.array(*each)))
+    values = rows.groupBy("_key", "_value").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(n).alias(n) for n in flags])
+    totals = values.agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in flags], *[_repeated(i) for i in range(len(checks.unique))]
+    )
+    return _report(totals, table, [*names, *[("unique", c, f"_u{i}") for i, c in enumerate(checks.unique)]])
 
 
 def _repeated(i: int) -> Column:
-    return F.count_if((F.col("_key") == i) & (F.col("_rows") > 1)).alias(f"_u{i}")
+    repeated = (F.col("_key") == i) & F.col("_value").isNotNull() & (F.col("_rows") > 1)
+    return F.count_if(repeated).alias(f"_u{i}")
 
 
 def _report(totals: DataFrame, table: str, names: list[tuple[str, str, str]]) -> DataFrame:

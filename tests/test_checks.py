@@ -41,3 +41,21 @@ def test_every_expected_check_is_declared():
     }
     expected = {t: (f.split(), u.split(), a, c) for t, (f, u, a, c) in oracle.CHECKS.items()}
     assert declared == expected
+
+
+def test_a_table_is_planned_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "id % 7 as k", "if(id = 3, null, 'x') as s").write.parquet(path)
+    checks = Checks(not_null=["s", "id"], unique=["id", "k"], accepted={"s": ["x"]}, conditions={"small": "id < 98"})
+    found = run_checks(spark.read.parquet(path), "t", checks)
+    assert rows(found, "check_name", "column_name", "failing_rows") == [
+        ("accepted_values", "s", 0), ("expression_is_true", "small", 2), ("not_null", "id", 0), ("not_null", "s", 1),
+        ("unique", "id", 0), ("unique", "k", 7),
+    ]
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+
+
+def test_checks_of_an_empty_table(spark):
+    empty = spark.range(0).selectExpr("id", "'x' as s")
+    found = run_checks(empty, "t", Checks(not_null=["s"], unique=["id"]))
+    assert rows(found, "check_name", "failing_rows") == [("not_null", 0), ("unique", 0)]
