@@ -26,7 +26,7 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 DOUBLE = ("  ", " \n", "\n ", "\n\n")
 #: Distinct words in one of the two memories of a worker: when the newer is full, it takes the place of the older, so
 #: that words which come again stay known. Results do not depend on it.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 #: Parts encoded in one call.
 RUN = 200
 
