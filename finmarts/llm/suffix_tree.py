@@ -1,19 +1,19 @@
 """Language-model scores from a probabilistic suffix tree over the bytes of normalised texts.
 
 A text is its words (A-Z in lower case), each with a space after it, then an end symbol. The tree holds contexts of up to
-`DEPTH` bytes. A context is kept if it makes up at least `LEAST_SHARE` of the training symbols and its next-symbol
-distribution diverges from that of its suffix: count times Kullback-Leibler divergence of at least `DIVERGENCE` nats.
-The suffixes of a kept context are kept. Each distribution is smoothed with its suffix's by the number of different
-symbols seen after the context (Witten and Bell), the root's with a uniform one. A symbol is scored by the longest
-kept suffix of what precedes it. A word's probability is that of its symbols, or this averaged with the word's share
-of the training tokens; a text's is the mean of what it gets either way, so that texts of known words and texts that
-the tree alone can spell both get nearly the better of the two.
-
-The counts of all training texts are merged inside each task and shuffled, so what they move grows with the corpus.
-The tree that is sent to the tasks does not: a level has at most 1 / `LEAST_SHARE` contexts of 256 symbols.
-
-Word counts, for the unigram base, have no such bound and are never sent whole. Texts are dealt out in blocks; each
-block's distinct words travel to the count and back to their block, where its texts are scored.
+`DEPTH` bytes that training texts hold at least `LEAST_COUNT` times. The root and contexts of one byte are kept; a longer
+one is kept if its next-symbol distribution diverges from that of its suffix (count times Kullback-Leibler divergence of
+at least `DIVERGENCE` nats) or if it is a suffix of a kept one. Each distribution is smoothed with its suffix's, whose
+weight is `ESCAPE` for each different symbol seen after the context (after Witten and Bell), the root's with a uniform one.
+A symbol is scored by the longest kept suffix of what precedes it, a text by the product over its symbols.
+
+Nothing of the tree is bounded by the corpus: it grows with what the training texts hold, and no task or the driver
+sees it whole. Texts are dealt out in blocks of about `BLOCK_BYTES`. Each block's different words and grams (a context and
+the symbol after it) travel to the corpus-wide counts and their answers back to the block, where its texts are scored.
+Grams are kept by their context read backwards, so that all contexts with the same last two bytes, and with them all
+levels of the tree from the second down, meet in one task; that task tests divergence and gives each gram its probability.
+The levels above are at most 256 x 256 counts, which every task gets. Such a group holds the different grams of one pair
+of bytes, a few hundredths of the different grams of the corpus.
 """
 
 from __future__ import annotations
@@ -23,28 +23,30 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from finmarts.llm.common import batches, held_out, lower_words_of, written
 
-DEPTH, LEAST_SHARE, LEAST_COUNT, DIVERGENCE = 5, 2e-7, 2, 3.0
+DEPTH, LEAST_COUNT, DIVERGENCE, ESCAPE = 5, 2, 3.0, 4
 BLOCK_BYTES = 16 << 20
-#: Symbols handled at once in a task.
-CHUNK = 2 << 20
+#: Grams handled at once in a task.
+CHUNK = 1 << 20
 END = b"\n"
 SYMBOLS = 257
 
 
 def symbols(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each symbol of some texts, ``depth`` bytes of context and the symbol as one number; symbols per text."""
+    """For each symbol of some texts its gram as one number, the context's last byte first and the symbol last; symbols
+    per text."""
     before = b"\0" * depth
     parts = [before + b" ".join([*words, END]) for words in texts]
     data = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.array([len(p) for p in parts], np.int64)
-    keys = np.zeros(max(0, len(data) - depth), np.uint64)
-    for j in range(depth + 1):
-        keys = (keys << np.uint64(8)) | data[j : len(data) - depth + j]
+    keys = np.zeros(max(0, len(data) - depth), np.int64)
+    for j in [*range(depth - 1, -1, -1), depth]:
+        keys = (keys << 8) | data[j : len(data) - depth + j]
     starts = np.cumsum(sizes) - sizes
     within = np.arange(len(keys)) - np.repeat(starts, sizes)[: len(keys)]
     inside = within + depth < np.repeat(sizes, sizes)[: len(keys)]
@@ -52,6 +54,7 @@ def symbols(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarra
 
 
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in ascending order and the sums of their counts."""
     every = np.concatenate(keys)
     order = np.argsort(every, kind="stable")
     every, n = every[order], np.concatenate(counts)[order]
@@ -59,180 +62,160 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return every[first], np.add.reduceat(n, first)
 
 
-def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """(gram, n): counts of ``depth`` + 1 neighbouring symbols, the last one and its context."""
-    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+def upper_levels(pairs: np.ndarray) -> np.ndarray:
+    """From counts[context byte, symbol]: the probability of each symbol after each byte, by the root and level 1."""
+    below = np.full(256, 1 / SYMBOLS)
+    for counts in (pairs.sum(0, keepdims=True), pairs):
+        total, escape = counts.sum(1, keepdims=True), ESCAPE * (counts > 0).sum(1, keepdims=True)
+        kept = total >= LEAST_COUNT
+        below = np.where(kept, (counts + escape * below) / np.where(kept, total + escape, 1), below)
+    return below
 
-    def tables(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        whole = pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], schema=schema)
-        yield from (whole.slice(i, 20_000) for i in range(0, whole.num_rows, 20_000))
 
-    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = [], [], 0
-        for batch in rows:
-            for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
-                grams, _ = symbols([lower_words_of(t) for t in part.column("text").to_pylist()], depth)
-                k, n = np.unique(grams, return_counts=True)
-                keys.append(k)
-                counts.append(n)
-                held += len(k)
-                if held > CHUNK:
-                    k, n = merged(keys, counts)
-                    if len(k) > CHUNK // 2:
-                        yield from tables(k, n)
-                        keys, counts, held = [], [], 0
-                    else:
-                        keys, counts, held = [k], [n], len(k)
-        if keys:
-            k, n = merged(keys, counts)
-            yield from tables(k, n)
-
-    return docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _levels(grams: DataFrame, depth: int, least: float) -> list[DataFrame]:
-    """For contexts of 0 to ``depth`` bytes with at least so many symbols: context, symbol, n, total, kinds."""
+def probabilities(grams: np.ndarray, n: np.ndarray, pairs: np.ndarray, depth: int, divergence: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The probability of each gram's symbol after its context, and for levels 2 to ``depth`` the kept contexts.
+
+    Takes different grams with their counts in the training texts, all grams of a pair of last bytes or none;
+    ``pairs`` counts the symbols after each byte.
+    """
+    grams = grams.view(np.uint64)
+    symbol = grams & np.uint64(255)
+    last = (grams >> np.uint64(8 * depth)).astype(np.int64)
+    p = upper_levels(pairs)[last, symbol.astype(np.int64)]
+    share = (pairs / np.maximum(1, pairs.sum(1, keepdims=True)))[last, symbol.astype(np.int64)]
     levels = []
-    each = Window.partitionBy("context")
-    for k in range(depth, -1, -1):
-        if k < depth:
-            shorter = F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")
-            grams = written(grams.groupBy(shorter).agg(F.sum("n").alias("n")), f"grams-{k}")
-        split = grams.withColumn("context", F.shiftrightunsigned("gram", 8)).withColumn("symbol", F.col("gram").bitwiseAND(255))
-        totals = split.withColumn("total", F.sum("n").over(each)).withColumn("kinds", F.count(F.lit(1)).over(each))
-        levels.insert(0, totals.where(F.col("total") >= least).select("context", "symbol", "n", "total", "kinds"))
-    return levels
+    for k in range(2, depth + 1):
+        code = ((grams >> np.uint64(8 * (depth + 1 - k))) << np.uint64(8)) | symbol
+        each, row, place = np.unique(code, return_index=True, return_inverse=True)
+        counts = np.bincount(place, n, len(each))
+        contexts, start, own = np.unique(each >> np.uint64(8), return_index=True, return_inverse=True)
+        total, escape = np.add.reduceat(counts, start), ESCAPE * np.add.reduceat(counts > 0, start, dtype=np.int64)
+        usual, seen = share[row], counts > 0
+        share = (counts / np.maximum(1, total)[own])[place]
+        gain = np.bincount(own[seen], counts[seen] * np.log(counts[seen] / total[own][seen] / usual[seen]), len(contexts))
+        levels.append([contexts, (gain >= divergence) & (total >= LEAST_COUNT), row, place, own, counts, total, escape])
+    for short, long in zip(levels[-2::-1], levels[:0:-1]):
+        suffixes = np.searchsorted(short[0], long[0][long[1]] >> np.uint64(8))
+        short[1][suffixes] = True
+    for _, kept, row, place, own, counts, total, escape in levels:
+        before = p[row]
+        smoothed = (counts + escape[own] * before) / np.maximum(1, total + escape)[own]
+        p = np.where(kept[own], smoothed, before)[place]
+    return p, [contexts[kept] for contexts, kept, *_ in levels]
+
+
+def gram_scores(grams: DataFrame, pairs: np.ndarray, depth: int, divergence: float, chunk: int = CHUNK) -> DataFrame:
+    """(gram, log): log10 of each gram's probability, from (gram, n) with each gram once."""
+    schema = pa.schema([("gram", pa.int64()), ("log", pa.float64())])
+
+    def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, limit = [], 0, chunk
 
+        def finish(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            logs = np.log10(probabilities(keys, n, pairs, depth, divergence)[0])
+            whole = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logs)], schema=schema)
+            yield from (whole.slice(i, 20_000) for i in range(0, whole.num_rows, 20_000))
 
-def tree(grams: DataFrame, depth: int, least_share: float, divergence: float) -> list[pa.Table]:
-    """The kept contexts of each level from 0 (the root) with their symbols: context, symbol, n, total, kinds.
+        def joined() -> tuple[np.ndarray, np.ndarray]:
+            return tuple(np.concatenate([part[i] for part in held]) for i in (0, 1))
 
-    Contexts that are frequent enough are so few, whatever the corpus, that divergence is tested on the driver.
-    """
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    levels = [t.toArrow() for t in _levels(grams, depth, max(LEAST_COUNT, least_share * total))]
-    deeper = np.empty(0, np.int64)
-    kept = []
-    for k in range(depth, 0, -1):
-        long, short = levels[k], levels[k - 1]
-        context, symbol, n, all_n = (long.column(c).to_numpy() for c in ("context", "symbol", "n", "total"))
-        keys = (short.column("context").to_numpy() << 8) | short.column("symbol").to_numpy()
-        order = np.argsort(keys)
-        mask = (1 << 8 * (k - 1)) - 1
-        if len(n):
-            # a frequent context's suffix is at least as frequent, so that each of its grams is found
-            at = order[np.searchsorted(keys[order], ((context & mask) << 8) | symbol)]
-            usual = short.column("n").to_numpy()[at] / short.column("total").to_numpy()[at]
-            gain = n * np.log(n / all_n / usual)
-            each, place = np.unique(context, return_inverse=True)
-            own = each[np.bincount(place, gain) >= divergence]
-        else:
-            own = deeper[:0]
-        chosen = np.union1d(own, deeper)
-        kept.insert(0, long.filter(pa.array(np.isin(context, chosen))))
-        deeper = np.unique(chosen & mask)
-    return [levels[0], *kept]
-
-
-class SuffixTree:
-    """The tree as sorted arrays: per level the contexts with their totals and kinds, and the grams with their counts."""
-
-    def __init__(self, levels: list[pa.Table]):
-        self.levels = []
-        for t in levels:
-            context, symbol, n, total, kinds = (t.column(c).to_numpy() for c in ("context", "symbol", "n", "total", "kinds"))
-            grams = (context.astype(np.uint64) << np.uint64(8)) | symbol.astype(np.uint64)
-            order = np.argsort(grams)
-            first = np.unique(context[order], return_index=True)
-            self.levels.append((
-                grams[order], n[order].astype(np.float64), first[0].astype(np.uint64),
-                total[order][first[1]].astype(np.float64), kinds[order][first[1]].astype(np.float64),
-            ))
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        """log10 of each gram's last symbol after its context."""
-        p = np.full(len(grams), 1 / SYMBOLS)
-        for k, (known, n, contexts, total, kinds) in enumerate(self.levels):
-            if not len(known):
-                continue
-            short = grams & np.uint64((1 << 8 * (k + 1)) - 1)
-            context = short >> np.uint64(8)
-            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            hit = np.flatnonzero(contexts[at] == context)
-            at, short = at[hit], short[hit]
-            g = np.minimum(np.searchsorted(known, short), len(known) - 1)
-            seen = np.where(known[g] == short, n[g], 0.0)
-            p[hit] = (seen + kinds[at] * p[hit]) / (total[at] + kinds[at])
-        return np.log10(p)
-
-    def tokens(self, texts: list[list[bytes]], depth: int) -> np.ndarray:
-        """log10 probability of each word, with the space after it, and of each text's end, in order."""
-        grams, _ = symbols(texts, depth)
-        each, place = np.unique(grams, return_inverse=True)
-        lengths = np.fromiter((n for words in texts for n in (*(len(w) + 1 for w in words), len(END))), np.int64)
-        return np.add.reduceat(self.log10(each)[place], np.cumsum(lengths) - lengths)
-
-
-def word_counts(blocked: DataFrame) -> DataFrame:
-    """(block, word, n): the distinct words of each block and how often its training texts hold them."""
-    schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+        for batch in rows:
+            held.append((batch.column("gram").to_numpy(), batch.column("n").to_numpy()))
+            size += batch.num_rows
+            if size >= limit:
+                keys, n = joined()
+                near = keys >> (8 * (depth - 1))
+                cut = int(np.argmax(near == near[-1]))
+                if cut:
+                    yield from finish(keys[:cut], n[:cut])
+                held, size = [(keys[cut:], n[cut:])], len(keys) - cut
+                limit = max(chunk, 2 * size)
+        if size:
+            yield from finish(*joined())
+
+    near = F.shiftright("gram", 8 * (depth - 1))
+    dealt = grams.select("gram", "n").repartition(near).sortWithinPartitions("gram")
+    return dealt.mapInArrow(score, "gram long, log double")
+
+
+def block_counts(blocked: DataFrame, depth: int) -> DataFrame:
+    """(block, word, gram, n): the different words and the different grams of each block, each row one of either, and
+    how often the block's training texts hold it."""
+    schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, train, others = None, Counter(), set()
+        current, words, keys, counts, held = None, Counter(), [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = list(train) + list(others - train.keys())
-            n = list(train.values()) + [0] * (len(words) - len(train))
-            yield from batches({"block": [current] * len(words), "word": words, "n": n}, schema, 20000)
+            size = len(words)
+            yield from batches({"block": [current] * size, "word": list(words), "gram": [None] * size, "n": list(words.values())}, schema, 20_000)
+            grams, n = merged(keys, counts)
+            for i in range(0, len(grams), 20_000):
+                part = pa.array(grams[i : i + 20_000])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), current)), pa.nulls(len(part), pa.binary()), part, pa.array(n[i : i + 20_000])], schema=schema
+                )
+
+        def take(texts: list[list[bytes]], out: bool) -> None:
+            nonlocal held
+            for text in texts:
+                words.update(dict.fromkeys(text, 0) if out else text)
+            grams, n = np.unique(symbols(texts, depth)[0], return_counts=True)
+            keys.append(grams)
+            counts.append(n * (not out))
+            held += len(grams)
 
         for batch in rows:
-            for block, text, out in zip(*(batch.column(c).to_pylist() for c in ("block", "text", "held_out"))):
-                if block != current:
+            block, out = batch.column("block").to_numpy(), batch.column("held_out").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((block[1:] != block[:-1]) | (out[1:] != out[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
+                if a < b and block[a] != current:
                     if current is not None:
                         yield from flush()
-                    current, train, others = block, Counter(), set()
-                (others if out else train).update(lower_words_of(text))
+                    current, words, keys, counts, held = int(block[a]), Counter(), [], [], 0
+                for i in range(a, b, 250):
+                    take([lower_words_of(t) for t in batch.column("text").slice(i, min(250, b - i)).to_pylist()], bool(out[a]))
+                    if held > 4 * CHUNK:
+                        k, n = merged(keys, counts)
+                        keys, counts, held = [k], [n], 0
         if current is not None:
             yield from flush()
 
-    return blocked.mapInArrow(count, "block long, word binary, n long")
+    return blocked.mapInArrow(count, "block long, word binary, gram long, n long")
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
 
 
-def scored(texts: DataFrame, dictionary: DataFrame, model, depth: int, tokens: int, ends: int) -> DataFrame:
+def scored(texts: DataFrame, words: DataFrame, grams: DataFrame, depth: int, ends: int) -> DataFrame:
     """Per text: tokens, known tokens, the sum of log10(count + 1) of its tokens, and the model's score.
 
-    A block's dictionary rows come before its texts.
+    A block's words come before its grams, and these before its texts.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("log_counts", pa.float64()), ("score", pa.float64()),
     ])
-    none = F.lit(None)
-    words = dictionary.select("block", F.lit(0).alias("kind"), "word", "count", none.cast("long").alias("doc_id"), none.cast("boolean").alias("held_out"), none.cast("string").alias("text"))
-    texts = texts.select("block", F.lit(1).alias("kind"), none.cast("binary").alias("word"), none.cast("long").alias("count"), "doc_id", "held_out", "text")
+    columns = {"word": "binary", "count": "long", "gram": "long", "log": "double", "doc_id": "long", "held_out": "boolean", "text": "string"}
+
+    def of_kind(df: DataFrame, kind: int) -> DataFrame:
+        return df.select("block", F.lit(kind).alias("kind"), *(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()))
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = SuffixTree(model.value)
-        current, counts = None, {}
+        current, counts, parts, known, logs = None, {}, [], pd.Index([]), np.empty(0)
 
         def finish(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             texts = [lower_words_of(t) for t in part.column("text").to_pylist()]
             seen = np.fromiter((n for w in texts for n in (*map(counts.__getitem__, w), ends)), np.float64)
-            with np.errstate(divide="ignore"):
-                share = np.log(seen / max(1, tokens))
-            spelled = tree.tokens(texts, depth) * math.log(10)
-            mixed = np.logaddexp(share, spelled) + math.log(0.5)
             sizes = np.array([len(w) + 1 for w in texts])
             starts = np.cumsum(sizes) - sizes
-            both = np.logaddexp(np.add.reduceat(mixed, starts), np.add.reduceat(spelled, starts)) + math.log(0.5)
+            keys, lengths = symbols(texts, depth)
+            spelled = logs[known.get_indexer(keys)]
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), part.column("held_out"), pa.array(sizes),
                 pa.array(np.add.reduceat((seen > 0).astype(np.int64), starts)),
                 pa.array(np.add.reduceat(np.log10(seen + 1), starts)),
-                pa.array(both / math.log(10)),
+                pa.array(np.add.reduceat(spelled, np.cumsum(lengths) - lengths)),
             ], schema=schema)
 
         for batch in rows:
@@ -242,19 +225,24 @@ def scored(texts: DataFrame, dictionary: DataFrame, model, depth: int, tokens: i
                 if a == b:
                     continue
                 if block[a] != current:
-                    current, counts = block[a], {}
+                    current, counts, parts = block[a], {}, []
+                part = batch.slice(a, b - a)
                 if kind[a] == 0:
-                    part = batch.slice(a, b - a)
                     counts.update(zip(part.column("word").to_pylist(), part.column("count").to_pylist()))
+                elif kind[a] == 1:
+                    parts.append((part.column("gram").to_numpy(), part.column("log").to_numpy()))
                 else:
-                    for i in range(a, b, 250):
-                        yield from finish(batch.slice(i, min(250, b - i)))
+                    if parts:
+                        known, logs = pd.Index(np.concatenate([g for g, _ in parts])), np.concatenate([v for _, v in parts])
+                        parts = []
+                    for i in range(0, b - a, 250):
+                        yield from finish(part.slice(i, 250))
 
-    both = words.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
-    return both.mapInArrow(score, SCORED)
+    every = of_kind(words, 0).unionByName(of_kind(grams, 1)).unionByName(of_kind(texts, 2))
+    return every.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(score, SCORED)
 
 
-def language_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, least_share: float = LEAST_SHARE, divergence: float = DIVERGENCE) -> DataFrame:
+def language_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, divergence: float = DIVERGENCE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row.
 
     Trained on the rows whose crc32 of the id's text leaves another remainder; a null id counts as the empty text. A
@@ -271,9 +259,10 @@ def language_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
     blocks = max(1, math.ceil((size or 0) / BLOCK_BYTES))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
     texts = texts.withColumn("block", block)
-    blocked = texts.repartition("block").sortWithinPartitions("block")
+    blocked = texts.repartition("block").sortWithinPartitions("block", "held_out")
+    counted = written(block_counts(blocked, depth), "block-counts")
     per_word = Window.partitionBy("word")
-    dictionary = word_counts(blocked).withColumn("count", F.sum("n").over(per_word)).withColumn(
+    dictionary = counted.where("word is not null").select("block", "word", "n").withColumn("count", F.sum("n").over(per_word)).withColumn(
         "share", F.lit(1.0) / F.count(F.lit(1)).over(per_word)
     )
     dictionary = written(dictionary, "block-words")
@@ -281,9 +270,14 @@ def language_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
     n, v = dictionary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.round(F.sum(known)), F.lit(0)).cast("long")).first()
     trained = trained or 0
     tokens, kinds = n + trained, v + (trained > 0)
-    grams = written(gram_counts(texts.where(~F.col("held_out")), depth), "gram-counts")
-    model = spark.sparkContext.broadcast(tree(grams, depth, least_share, divergence))
-    result = scored(texts, dictionary, model, depth, tokens, trained)
+    grams = counted.where("gram is not null").select("block", "gram", "n")
+    pair = F.shiftrightunsigned("gram", 8 * depth) * 256 + F.col("gram").bitwiseAND(255)
+    pairs = np.zeros(256 * 256)
+    for row in grams.where("n > 0").groupBy(pair.alias("pair")).agg(F.sum("n").alias("n")).collect():
+        pairs[row.pair] = row.n
+    logs = gram_scores(grams.groupBy("gram").agg(F.sum("n").alias("n")), pairs.reshape(256, 256), depth, divergence)
+    logs = written(logs, "gram-scores")
+    result = scored(texts, dictionary.select("block", "word", "count"), grams.join(logs, "gram").select("block", "gram", "log"), depth, trained)
     return result.select(
         "doc_id",
         "held_out",
