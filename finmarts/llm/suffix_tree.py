@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from finmarts.llm.common import batches, held_out, lower_words_of, written
 
 DEPTH, LEAST_COUNT, DIVERGENCE, ESCAPE = 5, 2, 3.0, 4
-BLOCK_BYTES = 16 << 20
-#: Grams handled at once in a task.
+BLOCK_BYTES = 32 << 20
+#: Grams or words handled at once in a task.
 CHUNK = 1 << 20
 END = b"\n"
 SYMBOLS = 257
@@ -184,19 +184,65 @@ def block_counts(blocked: DataFrame, depth: int) -> DataFrame:
     return blocked.mapInArrow(count, "block long, word binary, gram long, n long")
 
 
+PACKED = "block long, words binary, counts binary, n long, known double, grams binary, logs binary"
+
+
+def packed(rows: DataFrame, of_words: bool) -> DataFrame:
+    """A task's words (block, word, count, n, share) or grams (block, gram, log) as few rows a block: words with spaces
+    between them, numbers as arrays; for words also the sum of ``n`` and of the share of the known ones."""
+    schema = pa.schema([
+        ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary()), ("n", pa.int64()), ("known", pa.float64()),
+        ("grams", pa.binary()), ("logs", pa.binary()),
+    ])
+
+    def finish(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(held)
+        block = whole.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        block = block[order]
+        starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])).tolist()
+        column = {c: whole.column(c).to_numpy()[order] for c in whole.column_names if c not in ("block", "word")}
+        words = whole.column("word").combine_chunks().take(pa.array(order)) if of_words else None
+        for a, b in zip(starts, [*starts[1:], len(block)]):
+            row = dict.fromkeys(schema.names) | {"block": int(block[a])}
+            if words is not None:
+                counts = column["count"][a:b]
+                row["words"], row["counts"] = b" ".join(words.slice(a, b - a).to_pylist()), counts.tobytes()
+                row["n"], row["known"] = int(column["n"][a:b].sum()), float(column["share"][a:b][counts > 0].sum())
+            else:
+                row["grams"], row["logs"] = column["gram"][a:b].tobytes(), column["log"][a:b].tobytes()
+            yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+    def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in rows:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= CHUNK:
+                yield from finish(held)
+                held, size = [], 0
+        if held:
+            yield from finish(held)
+
+    return rows.mapInArrow(pack, PACKED)
+
+
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
 
 
 def scored(texts: DataFrame, words: DataFrame, grams: DataFrame, depth: int, ends: int) -> DataFrame:
     """Per text: tokens, known tokens, the sum of log10(count + 1) of its tokens, and the model's score.
 
-    A block's words come before its grams, and these before its texts.
+    A block's words and grams, packed, come before its texts.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("log_counts", pa.float64()), ("score", pa.float64()),
     ])
-    columns = {"word": "binary", "count": "long", "gram": "long", "log": "double", "doc_id": "long", "held_out": "boolean", "text": "string"}
+    columns = {
+        "words": "binary", "counts": "binary", "grams": "binary", "logs": "binary", "doc_id": "long", "held_out": "boolean", "text": "string",
+    }
 
     def of_kind(df: DataFrame, kind: int) -> DataFrame:
         return df.select("block", F.lit(kind).alias("kind"), *(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()))
@@ -228,9 +274,11 @@ def scored(texts: DataFrame, words: DataFrame, grams: DataFrame, depth: int, end
                     current, counts, parts = block[a], {}, []
                 part = batch.slice(a, b - a)
                 if kind[a] == 0:
-                    counts.update(zip(part.column("word").to_pylist(), part.column("count").to_pylist()))
-                elif kind[a] == 1:
-                    parts.append((part.column("gram").to_numpy(), part.column("log").to_numpy()))
+                    for some, n, grams, values in zip(*(part.column(c).to_pylist() for c in ("words", "counts", "grams", "logs"))):
+                        if some is not None:
+                            counts.update(zip(some.split(b" "), np.frombuffer(n, np.int64).tolist()))
+                        else:
+                            parts.append((np.frombuffer(grams, np.int64), np.frombuffer(values)))
                 else:
                     if parts:
                         known, logs = pd.Index(np.concatenate([g for g, _ in parts])), np.concatenate([v for _, v in parts])
@@ -238,7 +286,7 @@ def scored(texts: DataFrame, words: DataFrame, grams: DataFrame, depth: int, end
                     for i in range(0, b - a, 250):
                         yield from finish(part.slice(i, 250))
 
-    every = of_kind(words, 0).unionByName(of_kind(grams, 1)).unionByName(of_kind(texts, 2))
+    every = of_kind(words, 0).unionByName(of_kind(grams, 0)).unionByName(of_kind(texts, 1))
     return every.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(score, SCORED)
 
 
@@ -262,12 +310,11 @@ def language_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
     blocked = texts.repartition("block").sortWithinPartitions("block", "held_out")
     counted = written(block_counts(blocked, depth), "block-counts")
     per_word = Window.partitionBy("word")
-    dictionary = counted.where("word is not null").select("block", "word", "n").withColumn("count", F.sum("n").over(per_word)).withColumn(
+    words = counted.where("word is not null").select("block", "word", "n").withColumn("count", F.sum("n").over(per_word)).withColumn(
         "share", F.lit(1.0) / F.count(F.lit(1)).over(per_word)
     )
-    dictionary = written(dictionary, "block-words")
-    known = F.when(F.col("count") > 0, F.col("share"))
-    n, v = dictionary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.round(F.sum(known)), F.lit(0)).cast("long")).first()
+    words = written(packed(words, True), "block-words")
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.round(F.sum("known")), F.lit(0)).cast("long")).first()
     trained = trained or 0
     tokens, kinds = n + trained, v + (trained > 0)
     grams = counted.where("gram is not null").select("block", "gram", "n")
@@ -277,7 +324,8 @@ def language_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
         pairs[row.pair] = row.n
     logs = gram_scores(grams.groupBy("gram").agg(F.sum("n").alias("n")), pairs.reshape(256, 256), depth, divergence)
     logs = written(logs, "gram-scores")
-    result = scored(texts, dictionary.select("block", "word", "count"), grams.join(logs, "gram").select("block", "gram", "log"), depth, trained)
+    grams = packed(grams.join(logs, "gram").select("block", "gram", "log"), False)
+    result = scored(texts, words, grams, depth, trained)
     return result.select(
         "doc_id",
         "held_out",
