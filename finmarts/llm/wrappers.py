@@ -4,11 +4,14 @@
    with equal trees are one node.
 2. The different skeletons of a host are merged into one wrapper by simple tree matching: two trees with the same
    root label match, and their children are aligned in order so that most nodes match. Merging a group of skeletons
-   and merging the merged is the same operation, so a host of any size is dealt out over many tasks.
+   and merging the merged is the same operation, so a host's skeletons are merged in rounds, a few in each group.
 3. Each skeleton node is aligned with a wrapper node, its slot. A text that most of a host's different pages hold in
-   one slot is template. Slots that hold mostly links, and those that their element or its class name marks as menu,
-   header, footer, sidebar, notice, advert, form or comments, are template too. Names are read whole ("with-sidebar"
-   marks nothing), and a name alone doesn't decide about an element that holds most of its host's different texts.
+   one slot may be template; it is if it stands beside differing content. A page bears witness to that by the longest
+   of its other texts, if these are most of what not nearly all pages of the host hold, and not little beside the
+   rest; all pages without such content count as one. So copies of an article that differ in an advert lose nothing.
+   Slots that hold mostly links, and those that their element or its class name marks as menu, header, footer, sidebar,
+   notice, advert, form or comments, are template too. Names are read whole ("with-sidebar" marks nothing), and a name
+   alone doesn't decide about an element that holds most of its host's different texts.
 4. The text of a page is the blocks in the remaining slots; where the page itself has such blocks inside an article or
    a main element, only these.
 """
@@ -26,8 +29,11 @@ from pyspark.sql import DataFrame, functions as F
 from finmarts.llm.common import batches, written
 
 TEMPLATE_SHARE, LEAST_PAGES, LINK_SHARE = 0.5, 5, 0.5
-#: Groups in which a host's different skeletons are merged first.
-GROUPS = 16
+#: Texts on more than this share of a host's different pages say nothing about a page; other text than what may be
+#: template has to be this share of that at least.
+EVERYWHERE, LEAST_REST = 0.9, 0.2
+#: Skeletons merged in one group of a round, about.
+FAN_IN = 64
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -94,7 +100,7 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
     names = [n for m in NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split()]
     split = [[w for w in WORDS.findall(n) if not w.isdigit()] for n in names]
     marked = any(not MARKS.isdisjoint(words) and MARKS.union(PLAIN).issuperset(words) for words in split)
-    return ".".join([tag, *[w for words in split for w in words][:4]]), marked
+    return ".".join([tag, *[w for words in split for w in words]]), marked
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
@@ -446,16 +452,24 @@ def _merge_all(shapes: pd.Series) -> str:
     return write_shape(whole)
 
 
-def wrappers(shapes: DataFrame) -> DataFrame:
-    """(host, wrapper) from (host, shape, shape_hash), each skeleton once."""
+def wrappers(shapes: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+    """(host, wrapper) from (host, shape, shape_hash), each skeleton once.
+
+    Each round merges about ``fan_in`` trees of a host in a group and is written, until every host has one tree.
+    """
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": group.host.iloc[:1], "shape": [_merge_all(group["shape"])]})
 
-    first = shapes.select("host", "shape", F.pmod("shape_hash", F.lit(GROUPS)).alias("part"))
-    partial = first.groupBy("host", "part").applyInPandas(merge, "host string, shape string")
-    whole = partial.groupBy("host").applyInPandas(merge, "host string, shape string")
-    return whole.withColumnRenamed("shape", "wrapper")
+    trees = shapes.select("host", "shape")
+    while True:
+        parts = trees.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / fan_in).alias("parts"))
+        most = parts.agg(F.max("parts")).first()[0] or 1
+        dealt = trees.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("shape"), "parts"))
+        trees = written(dealt.groupBy("host", "part").applyInPandas(merge, "host string, shape string"), "merged-skeletons")
+        if most == 1:
+            return trees.withColumnRenamed("shape", "wrapper")
+        trees = trees.distinct()
 
 
 def slots(shapes: DataFrame) -> DataFrame:
@@ -475,6 +489,28 @@ def slots(shapes: DataFrame) -> DataFrame:
     return both.mapInArrow(align, "host string, shape_hash long, slots array<int>")
 
 
+def beside_differing(pages: DataFrame, among) -> DataFrame:
+    """(host, slot, hash): the frequent texts that stand beside differing content on enough pages.
+
+    Takes pages with their usable blocks; ``among(column, block)`` tells whether a set of places holds a block.
+    """
+
+    def chars(blocks):
+        return F.aggregate(blocks, F.lit(0).cast("long"), lambda total, b: total + b["chars"])
+
+    fixed = F.filter("usable", lambda b: among("often", b))
+    rest = F.filter("usable", lambda b: ~among("often", b))
+    part = F.filter("fixed", lambda b: ~among("everywhere", b))
+    longest = F.array_max(F.transform("rest", lambda b: F.struct(b["chars"], b["hash"])))
+    own = chars("rest")
+    told = (own > 0) & (own >= chars(part)) & (own >= LEAST_REST * chars("fixed"))
+    found = pages.withColumn("fixed", fixed).where(F.size("fixed") > 0).withColumn("rest", rest)
+    places = F.array_distinct(F.transform("fixed", lambda b: F.struct(F.col("slots")[b["node"]].alias("slot"), b["hash"].alias("hash"))))
+    found = found.select("host", F.when(told, longest).alias("witness"), F.explode(places).alias("place"))
+    beside = F.count_distinct("witness") + F.max(F.col("witness").isNull().cast("int"))
+    return found.groupBy("host", "place").agg(beside.alias("n")).where(F.col("n") >= LEAST_PAGES).select("host", "place.*")
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of each page.
 
@@ -497,11 +533,11 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.max("links").alias("links"), F.sum("chars").alias("all_chars"), F.sum("links").alias("all_links"),
     )
     texts = written(texts, "slot-texts")
-    template = (
-        texts.where(F.col("n") >= LEAST_PAGES)
-        .join(sizes, "host")
-        .where(F.col("n") >= TEMPLATE_SHARE * F.col("pages"))
-        .groupBy("host").agg(F.collect_set(F.struct("slot", "hash")).alias("template"))
+    often = texts.where(F.col("n") >= LEAST_PAGES).join(sizes, "host").where(F.col("n") >= TEMPLATE_SHARE * F.col("pages"))
+    place = F.struct("slot", "hash")
+    often = often.groupBy("host").agg(
+        F.collect_set(place).alias("often"),
+        F.collect_set(F.when(F.col("n") > EVERYWHERE * F.col("pages"), place)).alias("everywhere"),
     )
     kinds = texts.groupBy("host", "slot").agg(F.sum("all_chars").alias("chars"), F.sum("all_links").alias("links"))
     varying = kinds.where(F.col("links") <= LINK_SHARE * F.col("chars")).groupBy("host").agg(F.collect_set("slot").alias("wanted"))
@@ -511,17 +547,24 @@ def main_text(pages: DataFrame) -> DataFrame:
     whole = texts.groupBy("host").agg(F.sum("chars").alias("whole"))
     held = below.join(whole, "host").where((F.col("chars") > WHOLE_SHARE * F.col("whole")) & (F.col("links") <= LINK_SHARE * F.col("chars")))
     stays = held.where("mark >= 0").groupBy("host").agg(F.collect_set("mark").alias("stays"))
-    hosts = varying.join(template, "host", "left").join(stays, "host", "left")
+    hosts = varying.join(often, "host", "left").join(stays, "host", "left")
 
-    def kept(b):
+    def among(places: str, b):
         at = F.col("slots")[b["node"]]
-        fixed = F.array_contains(F.col("template"), F.struct(at.alias("slot"), b["hash"].alias("hash")))
+        return F.coalesce(F.array_contains(places, F.struct(at.alias("slot"), b["hash"].alias("hash"))), F.lit(False))
+
+    def usable(b):
         named = F.exists(b["marks"], lambda m: ~F.coalesce(F.array_contains("stays", F.col("slots")[m]), F.lit(False)))
-        return ~b["apart"] & ~named & F.array_contains(F.col("wanted"), at) & ~F.coalesce(fixed, F.lit(False))
+        return ~b["apart"] & ~named & F.array_contains(F.col("wanted"), F.col("slots")[b["node"]])
 
     # written, so that its size is known before the pages move: they need no shuffle unless there are very many hosts
     judged = written(mapped.join(hosts, "host", "left"), "page-verdicts")
-    content = read.join(judged, ["host", "shape_hash"], "left").withColumn("content", F.filter("blocks", kept))
+    pages_of = read.join(judged, ["host", "shape_hash"], "left").withColumn("usable", F.filter("blocks", usable))
+    template = beside_differing(pages_of, among).groupBy("host").agg(F.collect_set(place).alias("template"))
+    judged = written(judged.drop("often", "everywhere").join(template, "host", "left"), "page-templates")
+    content = read.join(judged, ["host", "shape_hash"], "left").withColumn(
+        "content", F.filter("blocks", lambda b: usable(b) & ~among("template", b))
+    )
     inside = F.filter("content", lambda b: b["main"])
     texts = F.transform(F.when(F.size(inside) > 0, inside).otherwise(F.col("content")), lambda b: b["text"])
     return (

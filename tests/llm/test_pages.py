@@ -1,3 +1,4 @@
+import collections
 import os
 import html
 import re
@@ -105,3 +106,48 @@ def test_names_are_read_whole_and_never_empty_a_page(spark):
     assert found == {n: f"Title {n}\nStory {n} goes on for some words." for n in range(8)} | {
         n: f"Long story {n} of many words." for n in range(10, 18)
     }
+
+
+def test_given_pages_without_article_elements(spark):
+    """Hosts of one page are left out: with nothing to compare, an element named "ad" that holds most of it stays."""
+    given = pq.read_table(f"{SF}/pages.parquet").to_pylist()
+    hosts = collections.Counter((p["url"] or "").split("/")[2:3][0] for p in given)
+    given = [p for p in given if hosts[p["url"].split("/")[2]] > 1]
+    plain = [(p["page_id"], p["url"], re.sub(r"(</?)article\b", r"\1div", p["html"] or ""), "", "", 1) for p in given]
+    found = {r.page_id: r.text for r in wrappers.main_text(pages(spark, plain)).collect()}
+    assert given and found == {p["page_id"]: article(p["html"]) for p in given}
+
+
+COPIED = """<body><div id="top"><a href="/">Home</a></div><div class="text"><p>{a} first paragraph of some length, told at leisure.</p>
+<p>{a} second one.</p></div><div class="offer"><p>Buy {n} now</p></div><div><p>Printed by the press of the town.</p></div></body>"""
+
+
+def test_a_host_of_near_copies_keeps_its_article(spark):
+    def kept(a, n, last=True):
+        return f"{a} first paragraph of some length, told at leisure.\n{a} second one.\nBuy {n} now" + "\nPrinted by the press of the town." * last
+
+    def made(host, articles):
+        return [
+            (100 * host + n, f"https://copies{host}.example/{n}", COPIED.replace("{a}", a).replace("{n}", str(n)), "", "", 1)
+            for n, a in enumerate(articles)
+        ]
+
+    some, alone = ["Same"] * 6 + ["W", "X", "Y", "Z"], ["Same"] * 8
+    found = {r.page_id: r.text for r in wrappers.main_text(pages(spark, made(1, some) + made(2, alone))).collect()}
+    # six copies and four others: the printer's line stands beside five articles; with copies alone nothing tells it from the article
+    assert found == {100 + n: kept(a, n, False) for n, a in enumerate(some)} | {200 + n: kept(a, n) for n, a in enumerate(alone)}
+
+
+def test_a_host_with_many_skeletons_is_merged_in_rounds(spark):
+    tags = ["div", "section", "ul", "table", "blockquote"]
+    shapes = []
+    for i in range(625):
+        inner = " ".join(f"{tags[i // 5**j % 5]}.k{j}" for j in range(4))
+        shapes.append(("many.example", f"#(body({inner}))", i))
+    shapes.append(("one.example", "#(body(p))", 1))
+    df = spark.createDataFrame(shapes, "host string, shape string, shape_hash long")
+    whole = {r.host: r.wrapper for r in wrappers.wrappers(df, 8).collect()}
+    assert whole["one.example"] == "#(body(p))" and len(whole) == 2
+    tree = wrappers.read_shape(whole["many.example"])
+    for _, shape, _ in shapes[:-1:50]:
+        assert -1 not in wrappers.aligned(wrappers.read_shape(shape), tree)
