@@ -23,8 +23,12 @@ from finmarts.llm.components import connected_components
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS, HASHES, LEAST_EQUAL = 16, 4, 128, 87
-#: Buckets of more nodes are dealt out again by each further key before all pairs across groups are looked at.
+#: Buckets of more nodes are dealt out again by parts of the sketch before all pairs across groups are looked at. Two
+#: sketches with `LEAST_EQUAL` equal bytes differ in fewer bytes than there are parts, so that one part at least is
+#: equal and no such pair is lost.
 HOT = 512
+PARTS = HASHES - LEAST_EQUAL + 1
+PART = HASHES // PARTS
 SEED = 42
 NO_ID = (1 << 63) - 1
 
@@ -153,9 +157,12 @@ def across_groups(entries: DataFrame, groups: DataFrame, hot: int = HOT) -> Data
         kinds = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n"))
         return rows.join(kinds.where("x != y").select("key", "n"), "key")
 
-    first = written(mixed(placed), "mixed-buckets")
-    again = first.where(F.col("n") > hot).select("node", "root", "sketch", "keys", F.col("key").alias("k"), F.explode("keys").alias("j"))
-    again = mixed(again.where("j != k").select(F.xxhash64("k", "j").alias("key"), "node", "root", "sketch"))
+    first = written(mixed(placed.select("key", "node", "root", "sketch")), "mixed-buckets")
+    large = written(first.where(F.col("n") > hot).select("node", "root", "sketch").dropDuplicates(["node"]), "hot-nodes")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    again = large.select("node", "root", "sketch", parts.alias("j"))
+    again = again.select(F.xxhash64("j", F.substring("sketch", F.col("j") * PART + 1, F.lit(PART))).alias("key"), "node", "root")
+    again = mixed(again).join(large.select("node", "sketch"), "node")
     chosen = [p.select("key", "node", "root", "sketch") for p in (first.where(F.col("n") <= hot), again)]
     grouped = chosen[0].unionByName(chosen[1]).repartition("key").sortWithinPartitions("key")
     return grouped.mapInArrow(alike, "a long, b long")
@@ -191,7 +198,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: float = SIMILARITY, hot:
         F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("least"), F.min_by(F.struct("text_hash", "keys", "sketch"), "text_hash").alias("s")
     ).select("node", "least", "s.*")
     nodes = written(nodes, "nodes")
-    every = nodes.select("node", "text_hash", "sketch", "keys", F.explode("keys").alias("key"))
+    every = nodes.select("node", "text_hash", "sketch", F.explode("keys").alias("key"))
     shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     entries = written(every.join(shared, "key", "left_semi"), "shared-buckets")
     wanted = entries.select("node", "text_hash").distinct()

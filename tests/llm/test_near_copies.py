@@ -2,6 +2,7 @@ import collections
 import itertools
 import random
 
+import numpy as np
 import odd
 from finmarts.llm import near_copies, quality, simhash
 
@@ -56,6 +57,28 @@ def test_groups_match_brute_force_at_every_similarity(spark):
         assert [found[i] for i in range(len(texts))] == expected
 
 
+def test_a_hot_bucket_loses_no_pair(spark):
+    """3,000 nodes of one bucket that share no other key: every pair with enough equal bytes comes out."""
+    rng = np.random.default_rng(3)
+    sketches = rng.integers(0, 256, (3000, near_copies.HASHES), np.uint8)
+    for i in range(0, 3000, 3):  # the second and third differ from the first in 20 to 60 bytes
+        for j in (i + 1, i + 2):
+            places = rng.choice(near_copies.HASHES, rng.integers(20, 61), replace=False)
+            sketches[j] = sketches[i]
+            sketches[j, places] += rng.integers(1, 256, len(places), np.uint8)
+    expected = set()
+    for i in range(3000):
+        equal = (sketches[i + 1 :] == sketches[i]).sum(axis=1)
+        expected |= {(i, i + 1 + int(j)) for j in np.flatnonzero(equal >= near_copies.LEAST_EQUAL)}
+    assert 500 < len(expected) < 3000
+    rows = [(n, 7, s.tobytes()) for n, s in enumerate(sketches)]
+    entries = spark.createDataFrame(rows, "node long, key long, sketch binary").cache()
+    groups = spark.createDataFrame([], "node long, root long")
+    for hot in (100, 5000):
+        found = near_copies.across_groups(entries, groups, hot).collect()
+        assert {(r.a, r.b) for r in found} == expected
+
+
 def test_near_copies_are_no_boilerplate_for_the_pipeline(spark):
     """30 copies of an article, each with one other line, among 20 documents that share a true boilerplate line."""
     lines = [" ".join(f"story{i}w{j}" for j in range(20)) for i in range(10)]
