@@ -152,7 +152,9 @@ def quality(docs: DataFrame, kept_share: float = KEPT_SHARE, groups: DataFrame |
     """
     figures = written(measured(docs), "quality-figures")
     keyed = figures.withColumn("host_key", F.coalesce("host", F.lit(""))).withColumn("host_null", F.col("host").isNull())
-    judged = keyed.join(frequent_lines(figures, groups=groups), ["host_key", "host_null"], "left")
+    # a row per host that has such lines: written, so that Spark knows the size and need not deal rows out by host
+    lines = written(frequent_lines(figures, groups=groups), "frequent-lines")
+    judged = keyed.join(lines, ["host_key", "host_null"], "left")
     common = F.filter("lines", lambda x: F.array_contains(F.col("frequent"), x["line"]))
     removed = F.when(F.col("frequent").isNull(), F.lit(0)).otherwise(
         F.aggregate(common, F.lit(0).cast("long"), lambda total, x: total + x["words"])
