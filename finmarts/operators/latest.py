@@ -25,6 +25,19 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD_ORDER
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def first_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD_ORDER) -> DataFrame:
+    """As `latest`, for tables whose keys have few rows each, such as load versions.
+
+    The cut before the shuffle sorts every map task's rows, whole, by key. Where hardly a key repeats within a task that
+    saves nothing, and large files spill all their rows. Here rows are sorted after the shuffle only, in as many parts
+    as there are shuffle partitions. All rows of a key meet in one task.
+    """
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    # not a rank: Spark would put the cut back in
+    behind = df.withColumn("_behind", F.lag(F.lit(True)).over(newest))
+    return behind.where(F.col("_behind").isNull()).drop("_behind")
+
+
 def latest_live(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,7 +52,7 @@ def latest_live(
     live = F.col("_is_deleted") == 0
     if tombstone_wins:
         return latest(df, keys, order).where(live)
-    return latest(df.where(live), keys, order)
+    return first_of_few(df.where(live), keys, order)
 
 
 def replace_by_key(

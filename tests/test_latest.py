@@ -69,3 +69,22 @@ def test_sum_merge_refuses_ratios_and_undeclared_columns(spark):
         sum_merge([part], ["k"], ["margin_pct", "n"])
     with pytest.raises(ValueError, match="neither"):
         sum_merge([part], ["k"], ["n"])
+
+
+def test_staging_rows_are_sorted_after_the_shuffle_only(spark, plan):
+    loads = spark.range(0, 3000, 1, 8).selectExpr(
+        "id % 1000 as id", "concat('n', id) as name", "date_add(date'2024-01-01', cast(id / 1000 as int)) as _ingested_at",
+        "'b' as _batch_id", "md5(cast(id as string)) as _row_hash", "if(id >= 2990, 1, 0) as _is_deleted",
+    )
+    found = latest_live(loads, ["id"])
+    text = plan(found)
+    assert "Exchange" in text and "Sort" not in text[text.rindex("Exchange"):] and "WindowGroupLimit" not in text
+    # the newest is deleted for the last ten keys
+    assert rows(found, "id", "name") == rows(latest(loads.where("_is_deleted = 0"), ["id"]), "id", "name")
+    assert found.count() == 1000 and found.where("id = 995").first().name == "n1995"
+
+
+def test_rows_without_a_key_and_equal_rows_leave_one(spark):
+    row = (None, "a", day("2024-01-01"), "b1", "h1", 0)
+    loads = spark.createDataFrame([row, row, (1, "x", None, None, None, 0), (1, "y", day("2024-01-01"), None, None, 0)], LOAD)
+    assert rows(latest_live(loads, ["id"]), "id", "name") == [(1, "y"), (None, "a")]
