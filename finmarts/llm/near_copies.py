@@ -7,7 +7,10 @@
    is looked at before texts move: pairs with fewer than `LEAST_EQUAL` equal bytes aren't compared. A pair of 0.8
    has that few with a probability of about 0.0003.
 4. First every node is compared with the smallest node of each of its buckets, which settles large groups with a few
-   pairs a node. Then, in buckets that still hold several groups, all pairs across groups are compared.
+   pairs a node. Then, in buckets that still hold several groups, nodes whose sketches allow a link across groups are
+   gathered. Up to `CROWD` that hang together by such links give their pairs. More are a crowd, which is handed on as
+   its members, one row each, so that no row is made for a pair. Crowds with a node in common become one, and each is
+   compared whole in one task (`settled`).
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ BANDS, ROWS, HASHES, LEAST_EQUAL = 16, 4, 128, 87
 HOT = 512
 PARTS = HASHES - LEAST_EQUAL + 1
 PART = HASHES // PARTS
+#: Nodes of a bucket that hang together beyond this number are passed on as a crowd instead of as pairs.
+CROWD = 8
 SEED = 42
 NO_ID = (1 << 63) - 1
 
@@ -94,6 +99,7 @@ def _bytes(column: pa.Array) -> np.ndarray:
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+NEAR = pa.schema([*PAIRS, ("crowd", pa.bool_())])
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -117,25 +123,60 @@ def to_smallest(entries: DataFrame) -> DataFrame:
     return both.mapInArrow(alike, "a long, b long")
 
 
+def hanging_together(root: np.ndarray, sketches: np.ndarray) -> Iterator[np.ndarray]:
+    """The nodes of a bucket that are connected by sketches near enough across groups, set by set.
+
+    Nodes that are near to none of another group are in no set. Holds numbers of nodes only, never pairs.
+    """
+    groups, counts = np.unique(root, return_counts=True)
+    usual = root == groups[np.argmax(counts)]
+    several, of = np.zeros(len(root), bool), np.arange(len(root))
+    # members of the largest group are only met by those of others
+    for i in np.flatnonzero(~usual).tolist():
+        found = np.flatnonzero((root != root[i]) & (usual | (np.arange(len(root)) > i)))
+        near = found[(sketches[found] == sketches[i]).sum(axis=1) >= LEAST_EQUAL]
+        if len(near):
+            several[near] = several[i] = True
+            joined = np.unique(np.append(of[near], of[i]))
+            if len(joined) > 1:
+                of[np.isin(of, joined)] = joined[0]
+    some = np.flatnonzero(several)
+    some = some[np.argsort(of[some], kind="stable")]
+    if len(some):
+        yield from np.split(some, np.flatnonzero(np.diff(of[some])) + 1)
+
+
 def across_groups(entries: DataFrame, groups: DataFrame, hot: int = HOT) -> DataFrame:
-    """Pairs of nodes of different groups in one bucket, where their sketches allow."""
+    """Pairs (a, b) of nodes of different groups in one bucket, where their sketches allow.
+
+    Nodes that hang together by more than a few such pairs come as members of a crowd instead: ``crowd`` is true, b is
+    the node and a the smallest node of the crowd.
+    """
 
     def alike(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         current = None
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
 
-        def finish() -> Iterator[pa.RecordBatch]:
+        def batch_of(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=NEAR)
+
+        def finish() -> None:
+            nonlocal size
             whole = pa.Table.from_batches(held)
             node, root = whole.column("node").to_numpy(), whole.column("root").to_numpy()
             sketches = _bytes(whole.column("sketch"))
-            usual = root == np.unique(root)[np.argmax(np.unique(root, return_counts=True)[1])]
-            # members of the largest group are only met by those of others
-            for i in np.flatnonzero(~usual).tolist():
-                other = (root != root[i]) & (usual | (np.arange(len(node)) > i))
-                found = np.flatnonzero(other)
-                near = found[(sketches[found] == sketches[i]).sum(axis=1) >= LEAST_EQUAL]
-                if len(near):
-                    yield from _pairs(np.full(len(near), node[i]), node[near])
+            for members in hanging_together(root, sketches):
+                if len(members) > CROWD:
+                    out.append((np.full(len(members), node[members].min()), node[members], np.ones(len(members), bool)))
+                else:
+                    i, j = np.triu_indices(len(members), 1)
+                    i, j = members[i], members[j]
+                    near = (root[i] != root[j]) & ((sketches[i] == sketches[j]).sum(axis=1) >= LEAST_EQUAL)
+                    a, b = node[i[near]], node[j[near]]
+                    out.append((np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), bool)))
+                size += len(out[-1][0])
 
         for batch in rows:
             key = batch.column("key").to_numpy()
@@ -144,12 +185,17 @@ def across_groups(entries: DataFrame, groups: DataFrame, hot: int = HOT) -> Data
                 if a == b:
                     continue
                 if held and key[a] != current:
-                    yield from finish()
+                    finish()
                     held = []
                 current = key[a]
                 held.append(batch.slice(a, b - a))
+            if size > 20_000:
+                yield batch_of(out)
+                out, size = [], 0
         if held:
-            yield from finish()
+            finish()
+        if out:
+            yield batch_of(out)
 
     placed = entries.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
@@ -165,7 +211,74 @@ def across_groups(entries: DataFrame, groups: DataFrame, hot: int = HOT) -> Data
     again = mixed(again).join(large.select("node", "sketch"), "node")
     chosen = [p.select("key", "node", "root", "sketch") for p in (first.where(F.col("n") <= hot), again)]
     grouped = chosen[0].unionByName(chosen[1]).repartition("key").sortWithinPartitions("key")
-    return grouped.mapInArrow(alike, "a long, b long")
+    return grouped.mapInArrow(alike, "a long, b long, crowd boolean")
+
+
+def links(sets: list[np.ndarray], group: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs of sets that are similar enough, as few as connect all groups that such a pair connects.
+
+    Sets meet through the hashes they share. Those that have come to the group of the first pivot need not be one: a
+    link between two of them tells nothing new. Holds the sets and one number for each, whatever the pairs.
+    """
+    sizes = np.array([len(s) for s in sets])
+    hashes, which = np.unique(np.concatenate(sets), return_inverse=True)
+    owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(which, kind="stable")]
+    counts = np.bincount(which, minlength=len(hashes))
+    upto, ends = np.cumsum(counts), np.cumsum(sizes)
+    group = np.unique(group, return_inverse=True)[1]
+    # the set whose hashes the others have most often is the likeliest to be near to many
+    first = int(np.argmax(np.add.reduceat(counts[which], ends - sizes) / sizes))
+    found = []
+    for i in [first, *(k for k in range(len(sets)) if k != first)]:
+        if i != first and group[i] == group[first]:
+            continue
+        own = which[ends[i] - sizes[i] : ends[i]]
+        both = np.zeros(len(sets), np.int64)
+        for a, b in zip((upto[own] - counts[own]).tolist(), upto[own].tolist()):
+            both[owners[a:b]] += 1  # a hash has an owner once
+        near = np.flatnonzero((both / (sizes + sizes[i] - both) >= least) & (group != group[i]))
+        for g, j in zip(*np.unique(group[near], return_index=True)):
+            found.append((i, int(near[j])))
+            group[group == g] = group[i]
+    return found
+
+
+def settled(
+    members: DataFrame, groups: DataFrame, texts: DataFrame, width: int = WIDTH, least: float = SIMILARITY
+) -> DataFrame:
+    """Pairs of similar nodes that connect the groups of each crowd (a: its smallest node, b: a member).
+
+    Crowds that share a node are one, so that each text travels once. A crowd is gathered in one task.
+    """
+
+    def settle(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes: list[int] = []
+        roots: list[int] = []
+        sets: list[np.ndarray] = []
+        current = None
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            found = np.array(links(sets, np.array(roots), least), np.int64).reshape(-1, 2)
+            node = np.array(nodes)
+            yield from _pairs(node[found[:, 0]], node[found[:, 1]])
+
+        for batch in rows:
+            for crowd, node, root, text in zip(*(batch.column(n).to_pylist() for n in ("crowd", "node", "root", "text"))):
+                if nodes and crowd != current:
+                    yield from finish()
+                    nodes, roots, sets = [], [], []
+                current = crowd
+                nodes.append(node)
+                roots.append(root)
+                sets.append(shingles(lower_words_of(text), width))
+        if nodes:
+            yield from finish()
+
+    crowds = connected_components(members.select("a", "b")).withColumnRenamed("root", "crowd")
+    crowds = crowds.unionByName(crowds.select(F.col("crowd").alias("node"), "crowd").distinct())
+    whole = crowds.join(groups, "node", "left").join(texts, "node").withColumn("root", F.coalesce("root", "node"))
+    grouped = whole.select("crowd", "node", "root", "text").repartition("crowd").sortWithinPartitions("crowd")
+    return grouped.mapInArrow(settle, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, least: float = SIMILARITY) -> DataFrame:
@@ -206,7 +319,9 @@ def classes(docs: DataFrame, width: int = WIDTH, least: float = SIMILARITY, hot:
     texts = written(texts.join(wanted, "text_hash").dropDuplicates(["node"]).select("node", "text"), "candidate-texts")
     sure = written(verified(to_smallest(entries), texts, width, least), "similar-pairs")
     roots = connected_components(sure)
-    more = verified(across_groups(entries, roots, hot), texts, width, least)
+    near = written(across_groups(entries, roots, hot), "near-nodes")
+    pairs, members = near.where(~F.col("crowd")).select("a", "b"), near.where("crowd")
+    more = verified(pairs, texts, width, least).unionByName(settled(members, roots, texts, width, least))
     roots = connected_components(sure.unionByName(more))
     placed = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("group"))
     ids = placed.groupBy("group").agg(F.min("least").alias("component_id"))

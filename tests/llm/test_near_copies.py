@@ -79,6 +79,79 @@ def test_a_hot_bucket_loses_no_pair(spark):
         assert {(r.a, r.b) for r in found} == expected
 
 
+def test_a_large_group_gives_no_row_a_pair(spark):
+    """400 nodes near to one another, no two in a group: rows in proportion to the nodes, not to their 80,000 pairs."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 256, near_copies.HASHES, np.uint8)
+    rows = []
+    for n in range(400):
+        own = base.copy()
+        own[rng.choice(near_copies.HASHES, 15, replace=False)] += np.uint8(1)
+        rows += [(n, key, own.tobytes()) for key in (7, 8)]
+    entries = spark.createDataFrame(rows, "node long, key long, sketch binary").cache()
+    groups = spark.createDataFrame([], "node long, root long")
+    for hot in (100, 5000):
+        found = near_copies.across_groups(entries, groups, hot).collect()
+        assert len(found) < near_copies.PARTS * 400 * near_copies.CROWD / 2 and {r.b for r in found if r.crowd} == set(range(400))
+    assert len(found) == 800 and {r.a for r in found} == {0}  # the same crowd in both buckets
+
+
+def test_links_connect_what_all_pairs_do():
+    """Crowds whose sets are similar in chains: the groups are those of comparing every pair."""
+    rng = np.random.default_rng(6)
+    for trial in range(30):
+        own = np.arange(100, dtype=np.uint64)
+        sets = []
+        for n in range(60):
+            own = own.copy()
+            places = rng.choice(100, rng.integers(4, 16), replace=False)
+            own[places] = rng.integers(1000, 1 << 40, len(places))
+            sets.append(np.unique(own))
+        order = rng.permutation(60)
+        sets = [sets[i] for i in order]
+        group = np.where(rng.random(60) < 0.3, rng.integers(0, 5, 60), np.arange(60))
+
+        def roots(pairs):
+            root = group.copy()
+            for i, j in pairs:
+                root[root == root[i]] = root[j]
+            return {frozenset(np.flatnonzero(root == r).tolist()) for r in set(root.tolist())}
+
+        every = [(i, j) for i, j in itertools.combinations(range(60), 2) if near_copies.similarity(sets[i], sets[j]) >= 0.8]
+        found = near_copies.links(sets, group, 0.8)
+        assert roots(found) == roots(every) and len(found) < 60
+        assert set(map(frozenset, found)) <= set(map(frozenset, every))
+
+
+def test_crowds_are_settled_by_whole_texts(spark):
+    """Copies of two articles with one or two words changed each, in a chain; every pair is compared by brute force."""
+    rng = random.Random(8)
+    texts = []
+    for n in range(2):
+        words = [f"a{n}w{i}" for i in range(100)]
+        for _ in range(40):
+            other = list(words)
+            for i in rng.sample(range(0, 100, 12), rng.randint(1, 4)):
+                other[i] = f"new{rng.randrange(3)}"
+            texts.append(" ".join(other))
+    root = list(range(80))
+    for i, j in itertools.combinations(range(80), 2):
+        if brute_similarity(texts[i], texts[j]) >= 0.8:
+            root = [root[i] if r == root[j] else r for r in root]
+    least = {r: min(i for i in range(80) if root[i] == r) for r in root}
+    assert 2 < len(least) < 70
+    # two crowds that share a node, the second in two buckets
+    crowds = spark.createDataFrame([(0, i) for i in range(50)] + [(45, i) for i in range(45, 80)] * 2, "a long, b long")
+    groups = spark.createDataFrame([], "node long, root long")
+    table = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    found = near_copies.settled(crowds, groups, table).collect()
+    joined = list(range(80))
+    for r in found:
+        joined = [joined[r.a] if x == joined[r.b] else x for x in joined]
+    assert [min(i for i in range(80) if joined[i] == x) for x in joined] == [least[r] for r in root]
+    assert len(found) == 80 - len(least)
+
+
 def test_near_copies_are_no_boilerplate_for_the_pipeline(spark):
     """30 copies of an article, each with one other line, among 20 documents that share a true boilerplate line."""
     lines = [" ".join(f"story{i}w{j}" for j in range(20)) for i in range(10)]
