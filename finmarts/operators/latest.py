@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 from finmarts.functions.numeric import TOTAL
 
 #: Newest load first; batch and content hash make ties deterministic.
 LOAD_ORDER = ("_ingested_at", "_batch_id", "_row_hash")
+ROW_HASH = LOAD_ORDER[-1]
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD_ORDER) -> DataFrame:
@@ -33,11 +35,32 @@ def first_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD
     as there are shuffle partitions. All rows of a key meet in one task.
     """
     newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    met = _meeting(df, keys) if ROW_HASH in order and ROW_HASH not in keys and _is_text(df, ROW_HASH) else df
     # not a rank: Spark would put the cut back in
-    behind = df.withColumn("_behind", F.lag(F.lit(True)).over(newest))
+    behind = met.withColumn("_behind", F.lag(F.lit(True)).over(newest))
     return behind.where(F.col("_behind").isNull()).drop("_behind")
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType == StringType()
+
+
+def _meeting(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows brought together by key, of which the row hash travels as bytes where it is written in hex digits.
+
+    The hash is half of a narrow row and doesn't compress. It is text again before anything compares it; a hash that
+    its bytes wouldn't give back letter by letter travels as it is.
+    """
+    same = F.lower(F.hex(F.unhex(ROW_HASH))) == F.col(ROW_HASH)
+    packed = df.select(
+        *[c for c in df.columns if c != ROW_HASH],
+        F.when(same, F.unhex(ROW_HASH)).alias("_hash_bytes"),
+        F.when(~F.coalesce(same, F.lit(False)), F.col(ROW_HASH)).alias("_hash_text"),
+    )
+    text = F.coalesce(F.lower(F.hex("_hash_bytes")), "_hash_text").alias(ROW_HASH)
+    return packed.repartition(*keys).select(*[text if c == ROW_HASH else c for c in df.columns])
+
+
 def latest_live(
     df: DataFrame,
     keys: Sequence[str],

@@ -88,3 +88,35 @@ def test_rows_without_a_key_and_equal_rows_leave_one(spark):
     row = (None, "a", day("2024-01-01"), "b1", "h1", 0)
     loads = spark.createDataFrame([row, row, (1, "x", None, None, None, 0), (1, "y", day("2024-01-01"), None, None, 0)], LOAD)
     assert rows(latest_live(loads, ["id"]), "id", "name") == [(1, "y"), (None, "a")]
+
+
+def test_a_hash_of_hex_digits_travels_as_bytes(spark, plan):
+    loads = spark.range(0, 4000, 1, 2).selectExpr(
+        "id % 3000 as id", "date'2024-01-01' as _ingested_at", "'b' as _batch_id",
+        "md5(cast(id as string)) as _row_hash", "0 as _is_deleted",
+    )
+    found = latest_live(loads, ["id"])
+    text = plan(found).split("Initial Plan")[0]
+    assert text.count("Exchange") == 1
+    before, after = text[text.rindex("Exchange"):], text[:text.rindex("Exchange")]
+    assert "_hash_bytes" in before and "unhex" in before
+    assert "lower(hex(_hash_bytes" in after
+    assert rows(found) == rows(latest(loads, ["id"]))
+
+
+def test_hashes_are_compared_as_text_however_they_travel(spark):
+    hashes = [
+        "0f", "f0", "F0", "abc", "abcd", "ABCD", "", None, "zz", "0", "a" * 32, "a" * 31 + "g", "é1", "0g", "ab ", "00\n", "b0 c",
+        "a" * 33, "A" * 32, "10", "1", "\u0000",
+    ]
+    pairs = [(i * 100 + j, f"{h!r} {side}", day("2024-01-01"), "b", h, 0)
+             for i, a in enumerate(hashes) for j, b in enumerate(hashes) for side, h in enumerate((a, b)) if a != b]
+    loads = spark.createDataFrame(pairs, LOAD)
+    found = latest_live(loads, ["id"])
+    assert rows(found) == rows(latest(loads, ["id"]))
+    expected = {}
+    for row in pairs:
+        text = (row[4] is not None, (row[4] or "").encode())
+        if row[0] not in expected or text > expected[row[0]][0]:
+            expected[row[0]] = (text, row[4])
+    assert {r.id: r._row_hash for r in found.collect()} == {k: v for k, (_, v) in expected.items()}
