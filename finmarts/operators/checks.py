@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, IntegralType
+
+from finmarts.operators.latest import LOAD_ORDER, Keep, first_of_few
 
 
 @dataclass(frozen=True)
@@ -25,28 +29,70 @@ def run_checks(df: DataFrame, table: str, checks: Checks) -> DataFrame:
     counts travel with the partial counts of the key values. Nulls pass the accepted-values and condition checks and
     are no repeated value.
     """
+    names, conditions = _row_checks(checks)
+    return _counted(df, table, checks.unique, names, conditions)
+
+
+def run_latest_checks(
+    clean: Callable[[Keep, Sequence[Column]], DataFrame], key: str, table: str, checks: Checks
+) -> DataFrame:
+    """`run_checks` of a clean table that keeps the newest live row of each ``key``, the one column to be unique.
+
+    ``clean`` makes the table, given the step that keeps rows and columns to pass on. Cleaning and row checks look at
+    one row at a time, so they run before that step, whose shuffle then moves the key, the load columns and a bit for
+    each row check instead of the columns to be checked. Rows stay where it has put them to have their keys counted.
+    """
+    rows = clean(_every_live, [F.col(key).alias("_kept_by"), *[F.col(c) for c in LOAD_ORDER]])
+    names, conditions = _row_checks(checks)
+    bits = {n: F.lit(1 << i).cast("long") for i, n in enumerate(conditions)}
+    none = F.lit(0).cast("long")
+    failed = reduce(Column.bitwiseOR, [F.when(c, bits[n]).otherwise(none) for n, c in conditions.items()], none)
+    # a key of the same type before and after cleaning travels once
+    same = rows.schema[key].dataType == rows.schema["_kept_by"].dataType
+    moved = rows.select(key, *([] if same else ["_kept_by"]), failed.alias("_failed"), *LOAD_ORDER)
+    kept = first_of_few(moved, [key if same else "_kept_by"])
+    return _counted(kept, table, checks.unique, names, {n: F.col("_failed").bitwiseAND(bit) != 0 for n, bit in bits.items()})
+
+
+def _every_live(stg: DataFrame, _: Sequence[str]) -> DataFrame:
+    return stg.where(F.col("_is_deleted") == 0)
+
+
+def _row_checks(checks: Checks) -> tuple[list[tuple[str, str, str]], dict[str, Column]]:
+    """(kind, column, counter) of every check of single rows, and the counters' conditions."""
     failing = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
     failing += [("accepted_values", c, ~F.col(c).isin(list(v))) for c, v in checks.accepted.items()]
     failing += [("expression_is_true", name, ~F.expr(e)) for name, e in checks.conditions.items()]
     names = [(kind, column, f"_c{i}") for i, (kind, column, _) in enumerate(failing)]
-    conditions = {f"_c{i}": condition for i, (_, _, condition) in enumerate(failing)}
-    if not checks.unique:
+    return names, {f"_c{i}": condition for i, (_, _, condition) in enumerate(failing)}
+
+
+def _counted(
+    df: DataFrame, table: str, unique: Sequence[str], names: list[tuple[str, str, str]], conditions: Mapping[str, Column]
+) -> DataFrame:
+    if not unique:
         return _report(df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()]), table, names)
-    # a row for each key, of which the first brings the row checks
     flags = {n: F.when(c, 1).otherwise(0) for n, c in conditions.items()}
-    each = [
-        F.struct(
-            F.lit(i).alias("_key"), F.col(column).cast("string").alias("_value"),
-            *[(flag if i == 0 else F.lit(0)).alias(n) for n, flag in flags.items()],
-        )
-        for i, column in enumerate(checks.unique)
-    ]
-    rows = df.select(F.inline(F.array(*each)))
-    values = rows.groupBy("_key", "_value").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(n).alias(n) for n in flags])
+    counts = [F.count(F.lit(1)).alias("_rows"), *[F.sum(n).alias(n) for n in flags]]
+    if len(unique) == 1 and isinstance(df.schema[unique[0]].dataType, (IntegralType, DateType)):
+        # grouped by the column as it is: a table that lies by its key is not moved again
+        rows = df.select(F.col(unique[0]).alias("_value"), *[f.alias(n) for n, f in flags.items()])
+        values = rows.groupBy("_value").agg(*counts).withColumn("_key", F.lit(0))
+    else:
+        # a row for each key, of which the first brings the row checks
+        each = [
+            F.struct(
+                F.lit(i).alias("_key"), F.col(column).cast("string").alias("_value"),
+                *[(flag if i == 0 else F.lit(0)).alias(n) for n, flag in flags.items()],
+            )
+            for i, column in enumerate(unique)
+        ]
+        rows = df.select(F.inline(F.array(*each)))
+        values = rows.groupBy("_key", "_value").agg(*counts)
     totals = values.agg(
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in flags], *[_repeated(i) for i in range(len(checks.unique))]
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in flags], *[_repeated(i) for i in range(len(unique))]
     )
-    return _report(totals, table, [*names, *[("unique", c, f"_u{i}") for i, c in enumerate(checks.unique)]])
+    return _report(totals, table, [*names, *[("unique", c, f"_u{i}") for i, c in enumerate(unique)]])
 
 
 def _repeated(i: int) -> Column:

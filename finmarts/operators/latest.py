@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -13,6 +13,8 @@ from finmarts.functions.numeric import TOTAL
 #: Newest load first; batch and content hash make ties deterministic.
 LOAD_ORDER = ("_ingested_at", "_batch_id", "_row_hash")
 ROW_HASH = LOAD_ORDER[-1]
+#: Keeps one row for each value of the key columns.
+Keep = Callable[[DataFrame, Sequence[str]], DataFrame]
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD_ORDER) -> DataFrame:

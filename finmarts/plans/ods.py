@@ -3,18 +3,22 @@
 Every function takes the staging table and returns one row per live key, except the
 company and account lists, which are kept as delivered. Columns that depend on the
 current day take ``as_of`` instead of the clock.
+
+Tables that can be large take the step that keeps one row per key as ``keep``, and columns to pass on as ``also``, so
+that `finmarts.operators.checks.run_latest_checks` can look at cleaned rows before that step.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from finmarts.functions import calendar as cal, rules
 from finmarts.functions.numeric import FRACTION, MONEY, flag, money, percent, safe_ratio
 from finmarts.functions.rules import code, day, text
-from finmarts.operators.latest import latest_live
+from finmarts.operators.latest import Keep, latest_live
 
 
 def _id(name: str):
@@ -149,8 +153,8 @@ def warehouses(stg: DataFrame) -> DataFrame:
     )
 
 
-def purchase_orders(stg: DataFrame) -> DataFrame:
-    typed = latest_live(stg, ["po_id"]).select(
+def purchase_orders(stg: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()) -> DataFrame:
+    typed = keep(stg, ["po_id"]).select(
         _id("po_id"),
         *_text("po_code"),
         _id("supplier_id"),
@@ -159,6 +163,7 @@ def purchase_orders(stg: DataFrame) -> DataFrame:
         *_code("status"),
         *_text("currency_code"),
         _money("total_amount"),
+        *also,
     )
     delay = F.date_diff("actual_delivery", "expected_delivery")
     delivered = F.col("actual_delivery")
@@ -170,8 +175,8 @@ def purchase_orders(stg: DataFrame) -> DataFrame:
     )
 
 
-def purchase_order_lines(stg: DataFrame) -> DataFrame:
-    typed = latest_live(stg, ["po_line_id"]).select(
+def purchase_order_lines(stg: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()) -> DataFrame:
+    typed = keep(stg, ["po_line_id"]).select(
         _id("po_line_id"),
         _id("po_id"),
         _id("product_id"),
@@ -181,6 +186,7 @@ def purchase_order_lines(stg: DataFrame) -> DataFrame:
         _money("unit_price"),
         _money("line_amount"),
         _id("received_qty"),
+        *also,
     )
     return typed.select(
         "*",
@@ -189,8 +195,8 @@ def purchase_order_lines(stg: DataFrame) -> DataFrame:
     )
 
 
-def sales_orders(stg: DataFrame) -> DataFrame:
-    typed = latest_live(stg, ["order_id"]).select(
+def sales_orders(stg: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()) -> DataFrame:
+    typed = keep(stg, ["order_id"]).select(
         _id("order_id"),
         *_text("order_code"),
         _id("client_id"),
@@ -201,6 +207,7 @@ def sales_orders(stg: DataFrame) -> DataFrame:
         *_text("currency_code"),
         F.col("discount_pct").cast(FRACTION).alias("discount_pct"),
         _money("total_amount"),
+        *also,
     )
     ordered = F.col("order_date")
     return typed.select(
@@ -215,8 +222,8 @@ def sales_orders(stg: DataFrame) -> DataFrame:
     )
 
 
-def sales_order_lines(stg: DataFrame) -> DataFrame:
-    typed = latest_live(stg, ["order_line_id"]).select(
+def sales_order_lines(stg: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()) -> DataFrame:
+    typed = keep(stg, ["order_line_id"]).select(
         _id("order_line_id"),
         _id("order_id"),
         _id("product_id"),
@@ -224,6 +231,7 @@ def sales_order_lines(stg: DataFrame) -> DataFrame:
         *_text("category", "brand"),
         _id("quantity"),
         *[_money(c) for c in ("unit_price", "unit_cost", "line_revenue", "line_cogs", "line_gross_profit")],
+        *also,
     )
     return typed.select(
         "*",
@@ -233,8 +241,8 @@ def sales_order_lines(stg: DataFrame) -> DataFrame:
     )
 
 
-def invoices(stg: DataFrame) -> DataFrame:
-    typed = latest_live(stg, ["invoice_id"]).select(
+def invoices(stg: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()) -> DataFrame:
+    typed = keep(stg, ["invoice_id"]).select(
         _id("invoice_id"),
         *_text("invoice_code"),
         *_code("invoice_type"),
@@ -248,6 +256,7 @@ def invoices(stg: DataFrame) -> DataFrame:
         _money("outstanding"),
         _int("days_overdue"),
         *_code("status"),
+        *also,
     )
     return typed.select(
         "*",
@@ -257,8 +266,8 @@ def invoices(stg: DataFrame) -> DataFrame:
     )
 
 
-def inventory_movements(stg: DataFrame) -> DataFrame:
-    typed = latest_live(stg, ["move_id"]).select(
+def inventory_movements(stg: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()) -> DataFrame:
+    typed = keep(stg, ["move_id"]).select(
         _id("move_id"),
         *_code("move_type", "reference_type"),
         _id("reference_id"),
@@ -267,6 +276,7 @@ def inventory_movements(stg: DataFrame) -> DataFrame:
         _int("quantity"),
         _money("unit_cost"),
         *_day("move_date"),
+        *also,
     )
     return typed.select(
         "*",
@@ -276,8 +286,8 @@ def inventory_movements(stg: DataFrame) -> DataFrame:
     )
 
 
-def marketing_spend(stg: DataFrame) -> DataFrame:
-    typed = latest_live(stg, ["spend_id"]).select(
+def marketing_spend(stg: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()) -> DataFrame:
+    typed = keep(stg, ["spend_id"]).select(
         _id("spend_id"),
         *_text("campaign_id", "campaign_name", "platform"),
         *_day("spend_date"),
@@ -286,6 +296,7 @@ def marketing_spend(stg: DataFrame) -> DataFrame:
         _id("conversions"),
         _money("spend_amount"),
         *_text("currency_code"),
+        *also,
     )
     return typed.select(
         "*",
@@ -298,9 +309,11 @@ def marketing_spend(stg: DataFrame) -> DataFrame:
     )
 
 
-def gl_postings(stg: DataFrame, accounts: DataFrame) -> DataFrame:
+def gl_postings(
+    stg: DataFrame, accounts: DataFrame, keep: Keep = latest_live, also: Sequence[Column] = ()
+) -> DataFrame:
     """Ledger postings with the statement attributes of their account (null where unknown)."""
-    typed = latest_live(stg, ["gl_id"]).select(
+    typed = keep(stg, ["gl_id"]).select(
         _id("gl_id"),
         *_day("posting_date"),
         *_text("doc_type"),
@@ -309,6 +322,7 @@ def gl_postings(stg: DataFrame, accounts: DataFrame) -> DataFrame:
         _money("amount_base"),
         *_text("currency_code", "description"),
         _int("scenario_id"),
+        *also,
     )
     attributes = ["statement_type", "pl_group", "pl_sign", "bs_group", "cf_section", "is_monetary", "normal_balance"]
     known = accounts.select(

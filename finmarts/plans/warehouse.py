@@ -18,7 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmarts.functions.calendar import CalendarRange, dim_date
-from finmarts.operators.checks import run_checks
+from finmarts.operators.checks import run_checks, run_latest_checks
 from finmarts.operators.lookups import lookup_side
 from finmarts.operators.keyed import BUCKET, bucketed, merge_arrivals, unseen
 from finmarts.operators.upsert import newest_date, recent_rows, upsert_table
@@ -102,6 +102,17 @@ KEYED = {
     "ods_suppliers": ("stg_suppliers", "supplier_id", "dim_supplier"),
     "ods_warehouses": ("stg_warehouses", "warehouse_id", "dim_warehouse"),
 }
+#: Clean table that can be large -> (its staging table, key, how it is cleaned).
+CLEANED = {
+    "ods_purchase_orders": ("stg_purchase_orders", "po_id", ods.purchase_orders),
+    "ods_purchase_order_lines": ("stg_purchase_order_lines", "po_line_id", ods.purchase_order_lines),
+    "ods_sales_orders": ("stg_sales_orders", "order_id", ods.sales_orders),
+    "ods_sales_order_lines": ("stg_sales_order_lines", "order_line_id", ods.sales_order_lines),
+    "ods_invoices": ("stg_invoices", "invoice_id", ods.invoices),
+    "ods_inventory_movements": ("stg_inventory_movements", "move_id", ods.inventory_movements),
+    "ods_marketing_spend": ("stg_marketing_spend", "spend_id", ods.marketing_spend),
+    "ods_gl_postings": ("stg_gl_postings", "gl_id", ods.gl_postings),
+}
 KEYED_DIMS = {dim: (table, key) for table, (_, key, dim) in KEYED.items()}
 #: Aggregate -> facts it is made from; they are brought up to date by year.
 AGGREGATES = {
@@ -129,6 +140,10 @@ class Warehouse:
 
     def checks(self, name: str) -> DataFrame:
         """Results of the data checks declared for a table."""
+        if name in CLEANED and name not in self.__dict__:
+            staging, key, clean = CLEANED[name]
+            below = [self.ods_accounts] if name == "ods_gl_postings" else []
+            return run_latest_checks(lambda *how: clean(self.source(staging), *below, *how), key, name, EXPECTATIONS[name])
         return run_checks(self.table(name), name, EXPECTATIONS[name])
 
     def publish(self, path: str, tables: Sequence[str] = TABLES, incremental: bool = True) -> None:

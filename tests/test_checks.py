@@ -1,8 +1,13 @@
-from helpers import rows
+from decimal import Decimal
+
+import pytest
+from helpers import day, rows
+from pyspark.sql import functions as F
 
 from finmarts.operators.checks import Checks, run_checks
 from finmarts.plans.expectations import EXPECTATIONS
-from finmarts.plans.warehouse import TABLES
+from finmarts.plans.warehouse import CLEANED, TABLES, Warehouse
+from finmarts.sources.schemas import schema_of
 
 
 def test_every_kind_of_failure_is_counted(spark):
@@ -59,3 +64,53 @@ def test_checks_of_an_empty_table(spark):
     empty = spark.range(0).selectExpr("id", "'x' as s")
     found = run_checks(empty, "t", Checks(not_null=["s"], unique=["id"]))
     assert rows(found, "check_name", "failing_rows") == [("not_null", 0), ("unique", 0)]
+
+
+def odd_loads(spark, staging):
+    """Two loads of each key with nulls, unknown codes and negative amounts here and there; some are deleted, some tie."""
+    odd = {"bigint": "id % 5", "int": "id % 4", "date": "date_add(date'2000-01-01', cast(id % 50 as int))",
+           "string": "element_at(array(' ar', 'AP ', 'paid', 'odd', ''), cast(id % 5 as int) + 1)",
+           "decimal(18,2)": "cast(id % 7 - 2 as decimal(18,2))"}
+    load = {"_row_hash": "if(id % 3 = 0, 'no hex', md5(cast(id as string)))", "_batch_id": "concat('b', id % 2)",
+            "_ingested_at": "date_add(date'2000-01-01', cast(id % 3 as int))", "_is_deleted": "if(id % 8 = 0, 1, 0)",
+            "_source_system": "'x'"}
+    columns = []
+    for i, field in enumerate(schema_of(staging)):
+        kind = field.dataType.simpleString()
+        value = load.get(field.name) or f"if((id + {i}) % 6 = 0, null, {odd.get(kind, 'id % 3')})"
+        value = "if(id < 6, null, id % 60)" if i == 0 else value
+        columns.append(f"cast({value} as {kind}) as {field.name}")
+    return spark.range(0, 120, 1, 4).selectExpr(*columns)
+
+
+@pytest.mark.parametrize("name", sorted(CLEANED))
+def test_checks_of_a_clean_table_find_what_its_rows_show(spark, name):
+    def source(staging):
+        return odd_loads(spark, staging).persist()
+
+    def made():
+        return Warehouse(spark, source, day("2001-08-01"))
+
+    found = rows(made().checks(name))
+    assert found == rows(run_checks(made().table(name), name, EXPECTATIONS[name]))
+    assert any(failing for *_, failing in found)
+
+
+def test_only_keys_and_failures_travel_to_the_newest_rows(spark, plan, tmp_path):
+    odd_loads(spark, "stg_sales_order_lines").write.parquet(str(tmp_path / "t"))
+    tables = Warehouse(spark, lambda _: spark.read.parquet(str(tmp_path / "t")), day("2001-08-01"))
+    text = plan(tables.checks("ods_sales_order_lines")).split("Initial Plan")[0]
+    shuffles = [line for line in text.splitlines() if " Exchange " in line]
+    # one by key, and one for the totals
+    assert len(shuffles) == 2 and sum("hashpartitioning(order_line_id" in s for s in shuffles) == 1
+    sent = text[text.rindex(" Exchange "):].splitlines()[1]
+    assert "_failed" in sent and "CASE WHEN isnull(product_id" in sent
+
+
+def test_one_key_counts_as_its_text_does(spark):
+    df = spark.createDataFrame([(1, Decimal(1)), (1, Decimal(1)), (1, None), (2, Decimal(2)), (None, None), (None, None)], "i int, d decimal(5,1)")
+    for column in ("i", "d"):
+        assert rows(run_checks(df, "t", Checks(unique=[column])), "failing_rows") == [(1,)]
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
+    assert rows(run_checks(zeros, "t", Checks(unique=["x"])), "failing_rows") == [(0,)]
+    assert run_checks(df.where(F.lit(False)), "t", Checks(unique=["i"])).first().failing_rows == 0
