@@ -76,7 +76,7 @@ def upsert_table(
     target = versions.read(spark, path, base)
     rows = source if lookback is None else recent_rows(source, newest_date(target, date), date, lookback)
     staged = f"{path}/_batch-{uuid.uuid4().hex}"
-    rows.drop(MONTH).write.parquet(staged)
+    rows.drop(MONTH).write.parquet(staged, compression=versions.CODEC)
     try:
         batch = spark.read.schema(source.drop(MONTH).schema).parquet(staged)
         received = batch.select(PARTITION_BY[MONTH](F.col(date)).alias(MONTH))

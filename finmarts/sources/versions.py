@@ -25,6 +25,8 @@ from finmarts.sources import files
 #: Starts with an underscore, so that no column of a table is likely to have the name.
 VERSION = "_state"
 MANIFESTS = "_manifests"
+#: Ids and amounts make up most of a table, which this codec writes in fewer bytes than Spark's default does.
+CODEC = "zstd"
 #: Manifests that stay readable when a later one is added.
 KEPT = 3
 
@@ -104,7 +106,7 @@ def write_folder(df: DataFrame, path: str, by: str | None, base: Manifest | None
         raise FileExistsError(f"{path} holds files that no manifest names, such as {foreign[0]}")
     folder = f"{VERSION}={(base.number if base else 0) + 1:08d}-{uuid.uuid4().hex[:12]}"
     writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(f"{path}/{folder}")
+    writer.parquet(f"{path}/{folder}", compression=CODEC)
     if not by:
         return folder, [0]
     found = files.names(spark, f"{path}/{folder}")
