@@ -18,7 +18,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmarts.functions.calendar import CalendarRange, dim_date
+from finmarts.functions.rules import day
 from finmarts.operators.checks import run_checks, run_latest_checks
+from finmarts.operators.latest import latest_live
 from finmarts.operators.lookups import lookup_side
 from finmarts.operators.keyed import BUCKET, bucketed, merge_arrivals, unseen
 from finmarts.operators.upsert import newest_date, recent_rows, upsert_table
@@ -176,6 +178,8 @@ class Warehouse:
             return self._write_keyed(name, target, old)
         if name in HEADERS and HEADERS[name][0] in self._published:
             return self._write_lines(name, target)
+        if name == "ods_gl_postings" and "ods_accounts" in self._published:
+            return self._write_postings(name, target)
         below = {fact: self._states[fact].folders for fact in AGGREGATES.get(name, []) if fact in self._published}
         complete = bool(below) and set(below) == set(AGGREGATES[name])
         if complete and old is not None and set(old.sources) == set(below):
@@ -266,6 +270,22 @@ class Warehouse:
         rows = rows.withColumn(MONTH, F.coalesce(MONTH, partition_of(MONTH, F.lit(None).cast("date"))))
         return versions.replace(laid_out_by(rows, MONTH, sort), target, MONTH, {header: self._states[header].folders})
 
+    def _write_postings(self, name: str, target: str) -> versions.Manifest:
+        """Ledger postings, laid out by month before they get the columns of their account.
+
+        A published chart of accounts is as small as its files, so Spark sends it to the postings, which stay where
+        they are. The shuffle by month then moves what was posted and not what is derived from it.
+        """
+        date, split, sort = LAYOUT[name]
+
+        def by_month(stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+            newest = latest_live(stg, keys)
+            return newest.withColumn(split, partition_of(split, day(date))).hint("rebalance", F.col(split))
+
+        rows = ods.gl_postings(self.source("stg_gl_postings"), self.ods_accounts, by_month, [F.col(split)])
+        rows = rows.withColumn("_loaded_at_ts", F.unix_timestamp())
+        return versions.replace(rows.sortWithinPartitions(split, *sort), target, split)
+
     def _write_years(
         self, name: str, target: str, old: versions.Manifest, below: dict[str, dict[int, str]]
     ) -> versions.Manifest:

@@ -4,6 +4,7 @@ import os
 
 import pytest
 from helpers import DATA, rows
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from finmarts.operators.keyed import merge_arrivals, unseen
@@ -150,3 +151,26 @@ def test_reach_of_months():
     assert refresh.years_of_periods([200101]) == [2000, 2001]
     assert refresh.years_of_periods([200012, 0]) == [0, 2000]
     assert refresh.months_of_periods([0, 2000]) == [(0, 0), (200001, 200101)]
+
+
+def test_postings_are_laid_out_before_they_get_their_account(spark, tmp_path, monkeypatch):
+    made = {}
+    replace = versions.replace
+
+    def noted(df, path, *rest, **more):
+        made[os.path.basename(path)] = df._jdf.queryExecution().optimizedPlan().toString()
+        return replace(df, path, *rest, **more)
+
+    monkeypatch.setattr(versions, "replace", noted)
+    source = tpch_source(spark, DATA)
+    Warehouse(spark, source, entry.AS_OF, entry.CALENDAR).publish(str(tmp_path), ["ods_accounts", "ods_gl_postings"])
+    text = made["ods_gl_postings"]
+    assert 0 <= text.index("Join LeftOuter") < text.index("RebalancePartitions")
+    found = versions.read(spark, str(tmp_path / "ods_gl_postings"))
+    table = Warehouse(spark, source, entry.AS_OF, entry.CALENDAR).ods_gl_postings
+    assert found.drop("_loaded_at_ts", "ym").columns == table.columns
+    assert rows(found, *table.columns) == rows(table)
+    assert found.where("ym != coalesce(year(posting_date) * 100 + month(posting_date), 0)").isEmpty()
+    # one file a month: the rows stayed where the layout had put them
+    assert found.select("ym", F.input_file_name()).distinct().groupBy("ym").count().where("count > 1").isEmpty()
+    assert all(name.endswith(".zstd.parquet") for name in map(os.path.basename, found.inputFiles()))
