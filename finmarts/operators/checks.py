@@ -33,25 +33,72 @@ def run_checks(df: DataFrame, table: str, checks: Checks) -> DataFrame:
     return _counted(df, table, checks.unique, names, conditions)
 
 
-def run_latest_checks(
-    clean: Callable[[Keep, Sequence[Column]], DataFrame], key: str, table: str, checks: Checks
+@dataclass(frozen=True)
+class Newest:
+    """A clean table that keeps the newest live row of each ``key``.
+
+    ``clean`` makes it, given the step that keeps rows and columns to pass on. ``lookups`` are tables it is joined to
+    from the left on columns of the same names, none of which is checked.
+    """
+
+    clean: Callable[[Keep, Sequence[Column]], DataFrame]
+    key: str
+    lookups: Sequence[tuple[DataFrame, Sequence[str]]] = ()
+
+
+def run_newest_checks(
+    lines: Newest, table: str, checks: Checks, header: Newest | None = None, of_header: Sequence[str] = ()
 ) -> DataFrame:
-    """`run_checks` of a clean table that keeps the newest live row of each ``key``, the one column to be unique.
+    """`run_checks` of a table made from clean lines and, by an inner join on its key, their ``header``.
 
-    ``clean`` makes the table, given the step that keeps rows and columns to pass on. Cleaning and row checks look at
-    one row at a time, so they run before that step, whose shuffle then moves the key, the load columns and a bit for
-    each row check instead of the columns to be checked. Rows stay where it has put them to have their keys counted.
+    The key of the lines is the one column to be unique; the columns ``of_header`` are checked as the header has them.
+    Cleaning and row checks look at one row at a time, so they run before keep-latest, whose shuffle then moves the key,
+    the load columns and a bit for each row check instead of the columns to be checked. Rows stay where it has put them
+    to have their keys counted, or go on to their header as keys and bits. Of a join to a lookup only the number of its
+    rows tells in a check.
     """
-    rows = clean(_every_live, [F.col(key).alias("_kept_by"), *[F.col(c) for c in LOAD_ORDER]])
     names, conditions = _row_checks(checks)
-    bits = {n: F.lit(1 << i).cast("long") for i, n in enumerate(conditions)}
+    bits = {n: 1 << i for i, n in enumerate(conditions)}
+    of = {n: column in of_header for _, column, n in names}
+    own = {n: c for n, c in conditions.items() if not of[n]}
+    kept = _newest_failures(lines, own, bits, checks.unique, [header.key] if header else [])
+    if header:
+        above = _newest_failures(header, {n: c for n, c in conditions.items() if of[n]}, bits, [header.key])
+        kept = kept.join(above.toDF(*[c if c == header.key else f"{c}_above" for c in above.columns]), header.key)
+        failed = F.col("_failed").bitwiseOR(F.col("_failed_above"))
+        times = [F.col(c) for c in kept.columns if c.startswith("_times")]
+        kept = kept.select(*checks.unique, failed.alias("_failed"), *([reduce(Column.__mul__, times).alias("_times")] if times else []))
+    weight = "_times" if "_times" in kept.columns else None
+    found = {n: F.col("_failed").bitwiseAND(F.lit(bit).cast("long")) != 0 for n, bit in bits.items()}
+    return _counted(kept, table, checks.unique, names, found, weight)
+
+
+def _newest_failures(
+    table: Newest, conditions: Mapping[str, Column], bits: Mapping[str, int], keys: Sequence[str], also: Sequence[str] = ()
+) -> DataFrame:
+    """The newest rows of a clean table: ``keys``, ``also``, failed row checks as bits and, with lookups, how often it occurs."""
+    rows = table.clean(_every_live, [F.col(table.key).alias("_kept_by"), *[F.col(c) for c in LOAD_ORDER]])
     none = F.lit(0).cast("long")
-    failed = reduce(Column.bitwiseOR, [F.when(c, bits[n]).otherwise(none) for n, c in conditions.items()], none)
+    failed = reduce(Column.bitwiseOR, [F.when(c, F.lit(bits[n]).cast("long")).otherwise(none) for n, c in conditions.items()], none)
     # a key of the same type before and after cleaning travels once
-    same = rows.schema[key].dataType == rows.schema["_kept_by"].dataType
-    moved = rows.select(key, *([] if same else ["_kept_by"]), failed.alias("_failed"), *LOAD_ORDER)
-    kept = first_of_few(moved, [key if same else "_kept_by"])
-    return _counted(kept, table, checks.unique, names, {n: F.col("_failed").bitwiseAND(bit) != 0 for n, bit in bits.items()})
+    same = rows.schema[table.key].dataType == rows.schema["_kept_by"].dataType
+    shown = list(dict.fromkeys([*keys, *also]))
+    kept_by = table.key if same and table.key in shown else "_kept_by"
+    times = []
+    for i, (lookup, on) in enumerate(table.lookups):
+        rows = rows.join(F.broadcast(_repeated_keys(lookup, on, f"_matches{i}")), list(on), "left")
+        times.append(F.coalesce(f"_matches{i}", F.lit(1).cast("long")))
+    weight = [reduce(Column.__mul__, times).alias("_times")] if times else []
+    moved = rows.select(*shown, *([] if kept_by in shown else [kept_by]), failed.alias("_failed"), *weight, *LOAD_ORDER)
+    return first_of_few(moved, [kept_by]).select(*shown, "_failed", *(["_times"] if times else []))
+
+
+def _repeated_keys(lookup: DataFrame, on: Sequence[str], count: str) -> DataFrame:
+    """Keys that a lookup holds more than once, with their rows: none, as long as keep-latest has made it unique.
+
+    Any other key leaves a left join one row, found or not, so these are all that such a join can add rows by.
+    """
+    return lookup.groupBy(*on).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1)
 
 
 def _every_live(stg: DataFrame, _: Sequence[str]) -> DataFrame:
@@ -68,21 +115,29 @@ def _row_checks(checks: Checks) -> tuple[list[tuple[str, str, str]], dict[str, C
 
 
 def _counted(
-    df: DataFrame, table: str, unique: Sequence[str], names: list[tuple[str, str, str]], conditions: Mapping[str, Column]
+    df: DataFrame,
+    table: str,
+    unique: Sequence[str],
+    names: list[tuple[str, str, str]],
+    conditions: Mapping[str, Column],
+    weight: str | None = None,
 ) -> DataFrame:
+    """The report of a table, of which a row stands for as many as its ``weight`` says, if it has one."""
     if not unique:
         return _report(df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()]), table, names)
-    flags = {n: F.when(c, 1).otherwise(0) for n, c in conditions.items()}
-    counts = [F.count(F.lit(1)).alias("_rows"), *[F.sum(n).alias(n) for n in flags]]
+    flags = {n: F.when(c, F.col(weight) if weight else 1).otherwise(0) for n, c in conditions.items()}
+    # a weight counts for every key
+    weighed = [F.col(weight).alias("_weight")] if weight else []
+    counts = [(F.sum("_weight") if weight else F.count(F.lit(1))).alias("_rows"), *[F.sum(n).alias(n) for n in flags]]
     if len(unique) == 1 and isinstance(df.schema[unique[0]].dataType, (IntegralType, DateType)):
         # grouped by the column as it is: a table that lies by its key is not moved again
-        rows = df.select(F.col(unique[0]).alias("_value"), *[f.alias(n) for n, f in flags.items()])
+        rows = df.select(F.col(unique[0]).alias("_value"), *weighed, *[f.alias(n) for n, f in flags.items()])
         values = rows.groupBy("_value").agg(*counts).withColumn("_key", F.lit(0))
     else:
         # a row for each key, of which the first brings the row checks
         each = [
             F.struct(
-                F.lit(i).alias("_key"), F.col(column).cast("string").alias("_value"),
+                F.lit(i).alias("_key"), F.col(column).cast("string").alias("_value"), *weighed,
                 *[(flag if i == 0 else F.lit(0)).alias(n) for n, flag in flags.items()],
             )
             for i, column in enumerate(unique)

@@ -5,7 +5,7 @@ company and account lists, which are kept as delivered. Columns that depend on t
 current day take ``as_of`` instead of the clock.
 
 Tables that can be large take the step that keeps one row per key as ``keep``, and columns to pass on as ``also``, so
-that `finmarts.operators.checks.run_latest_checks` can look at cleaned rows before that step.
+that `finmarts.operators.checks.run_newest_checks` can look at cleaned rows before that step.
 """
 
 from __future__ import annotations

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmarts.functions.calendar import CalendarRange, dim_date
 from finmarts.functions.rules import day
-from finmarts.operators.checks import run_checks, run_latest_checks
+from finmarts.operators.checks import Newest, run_checks, run_newest_checks
 from finmarts.operators.latest import latest_live
 from finmarts.operators.lookups import lookup_side
 from finmarts.operators.keyed import BUCKET, bucketed, merge_arrivals, unseen
@@ -115,6 +115,15 @@ CLEANED = {
     "ods_marketing_spend": ("stg_marketing_spend", "spend_id", ods.marketing_spend),
     "ods_gl_postings": ("stg_gl_postings", "gl_id", ods.gl_postings),
 }
+#: Fact -> (the clean tables it is made from, lines before header; what it checks of the header).
+#: The other columns it checks are those of the lines, as they are there.
+CHECKED_BELOW: dict[str, tuple[Sequence[str], Sequence[str]]] = {
+    "fct_gl_entry": (["ods_gl_postings"], []),
+    "fct_invoice": (["ods_invoices"], []),
+    "fct_marketing_spend": (["ods_marketing_spend"], []),
+    "fct_purchase_order_line": (["ods_purchase_order_lines", "ods_purchase_orders"], ["po_date", "supplier_id"]),
+    "fct_sales_order_line": (["ods_sales_order_lines", "ods_sales_orders"], ["order_date", "client_id"]),
+}
 KEYED_DIMS = {dim: (table, key) for table, (_, key, dim) in KEYED.items()}
 #: Aggregate -> facts it is made from; they are brought up to date by year.
 AGGREGATES = {
@@ -143,11 +152,28 @@ class Warehouse:
     def checks(self, name: str) -> DataFrame:
         """Results of the data checks declared for a table."""
         if name in CLEANED and name not in self.__dict__:
-            staging, key, clean = CLEANED[name]
-            below = [self.ods_accounts] if name == "ods_gl_postings" else []
-            return run_latest_checks(lambda *how: clean(self.source(staging), *below, *how), key, name, EXPECTATIONS[name])
+            return run_newest_checks(self._newest(name), name, EXPECTATIONS[name])
+        below, of_header = CHECKED_BELOW.get(name, ([], []))
+        if below and not {name, *below} & set(self.__dict__):
+            lines, *headers = [self._newest(table, self._joined_to(table)) for table in below]
+            return run_newest_checks(lines, name, EXPECTATIONS[name], *headers, of_header=of_header)
         return run_checks(self.table(name), name, EXPECTATIONS[name])
 
+    def _newest(self, name: str, lookups: Sequence[tuple[DataFrame, Sequence[str]]] = ()) -> Newest:
+        staging, key, clean = CLEANED[name]
+        below = [self.ods_accounts] if name == "ods_gl_postings" else []
+        return Newest(lambda *how: clean(self.source(staging), *below, *how), key, lookups)
+
+    def _joined_to(self, name: str) -> list[tuple[DataFrame, Sequence[str]]]:
+        """What facts join a clean table to from the left, and the columns it meets by."""
+        if name == "ods_invoices":
+            return [(facts.counterparties(self.dim_client, self.dim_supplier), ["counterparty_type", "counterparty_id"])]
+        if name in HEADERS:
+            return [(self.dim_product, ["product_id"])]
+        if name == "ods_purchase_orders":
+            return [(self.dim_supplier, ["supplier_id"])]
+        return [(self.dim_client, ["client_id"])] if name == "ods_sales_orders" else []
+
     def publish(self, path: str, tables: Sequence[str] = TABLES, incremental: bool = True) -> None:
         """Write tables below ``path`` in layer order and use the written ones from then on.
 

@@ -4,9 +4,9 @@ import pytest
 from helpers import day, rows
 from pyspark.sql import functions as F
 
-from finmarts.operators.checks import Checks, run_checks
+from finmarts.operators.checks import Checks, Newest, run_checks, run_newest_checks
 from finmarts.plans.expectations import EXPECTATIONS
-from finmarts.plans.warehouse import CLEANED, TABLES, Warehouse
+from finmarts.plans.warehouse import CHECKED_BELOW, CLEANED, FACTS, TABLES, Warehouse
 from finmarts.sources.schemas import schema_of
 
 
@@ -107,6 +107,57 @@ def test_only_keys_and_failures_travel_to_the_newest_rows(spark, plan, tmp_path)
     assert "_failed" in sent and "CASE WHEN isnull(product_id" in sent
 
 
+@pytest.mark.parametrize("name", FACTS)
+def test_checks_of_a_fact_find_what_its_rows_show(spark, name):
+    def source(staging):
+        return odd_loads(spark, staging).persist()
+
+    def made():
+        return Warehouse(spark, source, day("2001-08-01"))
+
+    found = rows(made().checks(name))
+    assert found == rows(run_checks(made().table(name), name, EXPECTATIONS[name]))
+    assert any(failing for *_, failing in found)
+
+
+@pytest.mark.parametrize("name", FACTS)
+def test_only_keys_and_failures_of_a_fact_travel(spark, plan, tmp_path, name):
+    def source(staging):
+        path = str(tmp_path / staging)
+        odd_loads(spark, staging).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(Warehouse(spark, source, day("2001-08-01")).checks(name)).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below, _ = CHECKED_BELOW[name]
+    # lookups are met where the rows are; lines move to their header
+    assert text.count("SortMergeJoin") == len(below) - 1 + (name == "fct_gl_entry")  # the accounts of postings
+    keyed = [line for line in text.splitlines() if f"hashpartitioning({CLEANED[below[0]][1]}" in line]
+    assert len(keyed) == 1 and "_failed" in text
+
+
+def test_rows_that_a_repeated_lookup_key_adds_are_counted(spark):
+    load = "date'2000-01-01' as _ingested_at, 'b' as _batch_id, md5('x') as _row_hash, 0 as _is_deleted"
+    lines = spark.range(6).selectExpr("id as line", "id % 3 as order", "id % 2 as part", "if(id = 4, null, 1) as v", load)
+    orders = spark.range(2).selectExpr("id as order", "if(id = 0, null, id) as buyer", "id as region", load)
+    parts = spark.createDataFrame([(0,), (0,), (0,), (1,), (None,), (None,)], "part bigint")
+    regions = spark.createDataFrame([(0,), (1,), (1,)], "region bigint")
+    checks = Checks(not_null=["line", "v", "buyer"], unique=["line"], conditions={"first": "line < 3"})
+    found = run_newest_checks(
+        Newest(lambda keep, also: keep(lines, ["line"]).select("line", "order", "part", "v", *also), "line", [(parts, ["part"])]),
+        "t", checks,
+        Newest(lambda keep, also: keep(orders, ["order"]).select("order", "buyer", "region", *also), "order", [(regions, ["region"])]),
+        of_header=["buyer"],
+    )
+    joined = lines.drop("_is_deleted").join(parts, "part", "left").join(orders.join(regions, "region", "left").select("order", "buyer"), "order")
+    assert rows(found) == rows(run_checks(joined, "t", checks))
+    assert [r.failing_rows for r in found.where("check_name = 'unique'").collect()] == [3]
+
+
 def test_one_key_counts_as_its_text_does(spark):
     df = spark.createDataFrame([(1, Decimal(1)), (1, Decimal(1)), (1, None), (2, Decimal(2)), (None, None), (None, None)], "i int, d decimal(5,1)")
     for column in ("i", "d"):
