@@ -22,15 +22,22 @@ class Checks:
     conditions: Mapping[str, str] = field(default_factory=dict)
 
 
-def run_checks(df: DataFrame, table: str, checks: Checks) -> DataFrame:
+#: A table that rows are joined to from the left, and the columns of the same names that they meet by.
+Lookup = tuple[DataFrame, Sequence[str]]
+
+
+def run_checks(df: DataFrame, table: str, checks: Checks, lookups: Sequence[Lookup] = ()) -> DataFrame:
     """One row per check with the number of failing rows (for ``unique``: repeated values).
 
     The table is planned and read once. Row checks are counted inside each task; where keys are to be unique, the
     counts travel with the partial counts of the key values. Nulls pass the accepted-values and condition checks and
-    are no repeated value.
+    are no repeated value. The table is checked as if it were joined to the ``lookups``, none of whose other columns is
+    checked.
     """
     names, conditions = _row_checks(checks)
-    return _counted(df, table, checks.unique, names, conditions)
+    rows, times = _with_matches(df, lookups)
+    weighed = rows.withColumns({c: times for c in ["_times"] if lookups})
+    return _counted(weighed, table, checks.unique, names, conditions, "_times" if lookups else None)
 
 
 @dataclass(frozen=True)
@@ -43,7 +50,7 @@ class Newest:
 
     clean: Callable[[Keep, Sequence[Column]], DataFrame]
     key: str
-    lookups: Sequence[tuple[DataFrame, Sequence[str]]] = ()
+    lookups: Sequence[Lookup] = ()
 
 
 def run_newest_checks(
@@ -84,21 +91,24 @@ def _newest_failures(
     same = rows.schema[table.key].dataType == rows.schema["_kept_by"].dataType
     shown = list(dict.fromkeys([*keys, *also]))
     kept_by = table.key if same and table.key in shown else "_kept_by"
-    times = []
-    for i, (lookup, on) in enumerate(table.lookups):
-        rows = rows.join(F.broadcast(_repeated_keys(lookup, on, f"_matches{i}")), list(on), "left")
-        times.append(F.coalesce(f"_matches{i}", F.lit(1).cast("long")))
-    weight = [reduce(Column.__mul__, times).alias("_times")] if times else []
+    rows, times = _with_matches(rows, table.lookups)
+    weight = [times.alias("_times")] if table.lookups else []
     moved = rows.select(*shown, *([] if kept_by in shown else [kept_by]), failed.alias("_failed"), *weight, *LOAD_ORDER)
-    return first_of_few(moved, [kept_by]).select(*shown, "_failed", *(["_times"] if times else []))
+    return first_of_few(moved, [kept_by]).select(*shown, "_failed", *(["_times"] if table.lookups else []))
 
 
-def _repeated_keys(lookup: DataFrame, on: Sequence[str], count: str) -> DataFrame:
-    """Keys that a lookup holds more than once, with their rows: none, as long as keep-latest has made it unique.
+def _with_matches(rows: DataFrame, lookups: Sequence[Lookup]) -> tuple[DataFrame, Column]:
+    """Rows, and how many rows left joins to the lookups make of each.
 
-    Any other key leaves a left join one row, found or not, so these are all that such a join can add rows by.
+    Any key leaves such a join one row, found or not, unless the lookup holds it more than once. Only those keys are
+    met here: none, as long as keep-latest has made the lookup unique.
     """
-    return lookup.groupBy(*on).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1)
+    times = F.lit(1).cast("long")
+    for i, (lookup, on) in enumerate(lookups):
+        counted = lookup.groupBy(*on).agg(F.count(F.lit(1)).alias(f"_matches{i}"))
+        rows = rows.join(F.broadcast(counted.where(F.col(f"_matches{i}") > 1)), list(on), "left")
+        times = times * F.coalesce(f"_matches{i}", F.lit(1).cast("long"))
+    return rows, times
 
 
 def _every_live(stg: DataFrame, _: Sequence[str]) -> DataFrame:

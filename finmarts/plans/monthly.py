@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from finmarts.functions import calendar as cal, rules
 from finmarts.functions.numeric import TOTAL, sum_total
 
 NET_OF_CANCELLED = "order_status != 'cancelled'"
+GL_KEYS = ["account_id", "scenario_id", "statement_type", "pl_group", "bs_group"]
 
 
 def gl_monthly(gl: DataFrame) -> DataFrame:
@@ -16,12 +17,28 @@ def gl_monthly(gl: DataFrame) -> DataFrame:
     One pass over the ledger serves both the P&L and the balance side; its size is
     months × accounts × scenarios, whatever the number of postings.
     """
-    keys = ["account_id", "scenario_id", "statement_type", "pl_group", "bs_group"]
-    return gl.groupBy(cal.month_start(F.col("posting_date")).alias("month"), *keys).agg(
+    return gl.groupBy(cal.month_start(F.col("posting_date")).alias("month"), *GL_KEYS).agg(*_gl_measures())
+
+
+def gl_daily(gl: DataFrame) -> DataFrame:
+    """The measures of ``gl_monthly`` by day, for where the ledger also serves the report by week and rolling window."""
+    return gl.groupBy("posting_date", *GL_KEYS).agg(*_gl_measures())
+
+
+def _gl_measures() -> list[Column]:
+    return [
         sum_total("signed_amount").alias("total_signed"),
         sum_total("amount_base").alias("total_raw"),
         sum_total(rules.balance_amount(F.col("amount_base"), F.col("normal_balance"))).alias("net_movement"),
         F.count(F.lit(1)).alias("posting_count"),
+    ]
+
+
+def gl_months_of_days(gl_day: DataFrame) -> DataFrame:
+    """``gl_monthly`` from ``gl_daily``."""
+    return gl_day.groupBy(cal.month_start(F.col("posting_date")).alias("month"), *GL_KEYS).agg(
+        *[sum_total(c).alias(c) for c in ("total_signed", "total_raw", "net_movement")],
+        F.sum("posting_count").alias("posting_count"),
     )
 
 

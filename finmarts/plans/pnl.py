@@ -59,12 +59,12 @@ def _finish(lines: DataFrame) -> DataFrame:
     return complete.select(*PERIOD_COLUMNS, "scenario_id", scenario_name(), *STATEMENT_COLUMNS)
 
 
-def daily_lines(gl: DataFrame) -> DataFrame:
+def daily_lines(gl: DataFrame, amount: str = "signed_amount") -> DataFrame:
     """P&L lines by day and scenario: the only step whose cost depends on the ledger's size."""
     return (
         gl.where(F.col("statement_type") == "pl")
         .groupBy("posting_date", "scenario_id")
-        .agg(*pivot_lines("signed_amount"))
+        .agg(*pivot_lines(amount))
     )
 
 
@@ -74,10 +74,13 @@ def rolling_with_data(periods: DataFrame, own_end: str = "_own_end") -> DataFram
     return periods.withColumn("_has_data", F.max(own_end).over(same_end)).where("_has_data").drop("_has_data", own_end)
 
 
-def periodic(gl: DataFrame) -> DataFrame:
-    """The full report. All grains come from one daily aggregate, so the ledger is read once."""
+def periodic(gl: DataFrame, amount: str = "signed_amount") -> DataFrame:
+    """The full report, from the ledger or its sums by day, account and scenario.
+
+    All grains come from one daily aggregate, so the ledger is read once.
+    """
     by_period = (
-        explode_periods(daily_lines(gl), "posting_date")
+        explode_periods(daily_lines(gl, amount), "posting_date")
         .groupBy(*PERIOD_COLUMNS, "scenario_id")
         .agg(*[sum_total(line).alias(line) for line in LINES], F.max("_own_end").alias("_own_end"))
     )

@@ -47,9 +47,13 @@ def working_capital_monthly(invoices: DataFrame) -> DataFrame:
     }).select(*COLUMNS)
 
 
+def open_invoices(invoices: DataFrame) -> DataFrame:
+    return invoices.where(F.col("outstanding") > 0)
+
+
 def aging_snapshot(invoices: DataFrame, as_of: dt.date) -> DataFrame:
     """Open invoices with their risk level on the snapshot day."""
-    return invoices.where(F.col("outstanding") > 0).select(
+    return open_invoices(invoices).select(
         "invoice_id",
         "invoice_code",
         "invoice_type",

@@ -23,11 +23,14 @@ def client_days(lines: DataFrame) -> DataFrame:
     """Sales per day, segment, category and client, with the number of orders.
 
     An order has one date and one client, because both come from its header. So
-    orders can be counted once here and added up over any period.
+    orders can be counted once here and added up over any period. Lines move to their
+    client's day once, for the sums by order and those by day.
     """
+    day = ["order_date", *SLICE, "client_id"]
     by_order = (
         lines.where(NET_OF_CANCELLED)
-        .groupBy("order_date", *SLICE, "client_id", "order_id")
+        .repartition(*day)
+        .groupBy(*day, "order_id")
         .agg(
             sum_total("line_revenue").alias("revenue"),
             sum_total("line_cogs").alias("cogs"),
@@ -35,7 +38,7 @@ def client_days(lines: DataFrame) -> DataFrame:
             F.sum("quantity").alias("quantity"),
         )
     )
-    return by_order.groupBy("order_date", *SLICE, "client_id").agg(
+    return by_order.groupBy(*day).agg(
         *_totals(), F.count(F.lit(1)).alias("order_count")
     )
 

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finmarts.functions.calendar import CalendarRange, dim_date
 from finmarts.functions.rules import day
-from finmarts.operators.checks import Newest, run_checks, run_newest_checks
-from finmarts.operators.latest import latest_live
+from finmarts.operators.checks import Lookup, Newest, run_checks, run_newest_checks
+from finmarts.operators.latest import LOAD_ORDER, latest_live
 from finmarts.operators.lookups import lookup_side
 from finmarts.operators.keyed import BUCKET, bucketed, merge_arrivals, unseen
 from finmarts.operators.upsert import newest_date, recent_rows, upsert_table
@@ -124,6 +124,10 @@ CHECKED_BELOW: dict[str, tuple[Sequence[str], Sequence[str]]] = {
     "fct_purchase_order_line": (["ods_purchase_order_lines", "ods_purchase_orders"], ["po_date", "supplier_id"]),
     "fct_sales_order_line": (["ods_sales_order_lines", "ods_sales_orders"], ["order_date", "client_id"]),
 }
+#: What the checks of the reports on receivables and payables need of an invoice.
+INVOICE_FIGURES = [
+    "invoice_date", "invoice_type", "counterparty_type", "counterparty_id", "amount", "outstanding", "days_overdue",
+]
 KEYED_DIMS = {dim: (table, key) for table, (_, key, dim) in KEYED.items()}
 #: Aggregate -> facts it is made from; they are brought up to date by year.
 AGGREGATES = {
@@ -157,14 +161,42 @@ class Warehouse:
         if below and not {name, *below} & set(self.__dict__):
             lines, *headers = [self._newest(table, self._joined_to(table)) for table in below]
             return run_newest_checks(lines, name, EXPECTATIONS[name], *headers, of_header=of_header)
+        if name not in self.__dict__ and (mart := self._mart_to_check(name)):
+            rows, lookups = mart
+            return run_checks(rows, name, EXPECTATIONS[name], lookups)
         return run_checks(self.table(name), name, EXPECTATIONS[name])
 
-    def _newest(self, name: str, lookups: Sequence[tuple[DataFrame, Sequence[str]]] = ()) -> Newest:
+    def _mart_to_check(self, name: str) -> tuple[DataFrame, Sequence[Lookup]] | None:
+        """A mart whose checks share a pass over a fact with other marts' checks, and what it is joined to besides."""
+        if name == "dm_pnl_periodic" and "fct_gl_entry" not in self._published:
+            return pnl.periodic(self.gl_daily, "total_signed"), []
+        if {"ods_invoices", "fct_invoice"} & self._published:
+            return None
+        if name == "dm_working_capital_monthly":
+            clients, suppliers = self._lookup("dim_client"), self._lookup("dim_supplier")
+            return receivables.working_capital_monthly(facts.invoice(self._invoices, clients, suppliers, self.calendar)), []
+        if name == "dm_ar_ap_aging_snapshot":
+            # what is checked of an open invoice is in the clean table, where rows lie by their key
+            return receivables.open_invoices(self._invoices), self._joined_to("ods_invoices")
+        return None
+
+    @cached_property
+    def _invoices(self) -> DataFrame:
+        """Clean invoices, of which loads that tie in every load column are told apart by their figures.
+
+        Whichever of the figures a report's checks read, the newest rows are then found from the same columns, so that
+        Spark moves the invoices once for both reports.
+        """
+        return ods.invoices(
+            self.source("stg_invoices"), lambda stg, keys: latest_live(stg, keys, [*LOAD_ORDER, *INVOICE_FIGURES])
+        )
+
+    def _newest(self, name: str, lookups: Sequence[Lookup] = ()) -> Newest:
         staging, key, clean = CLEANED[name]
         below = [self.ods_accounts] if name == "ods_gl_postings" else []
         return Newest(lambda *how: clean(self.source(staging), *below, *how), key, lookups)
 
-    def _joined_to(self, name: str) -> list[tuple[DataFrame, Sequence[str]]]:
+    def _joined_to(self, name: str) -> list[Lookup]:
         """What facts join a clean table to from the left, and the columns it meets by."""
         if name == "ods_invoices":
             return [(facts.counterparties(self.dim_client, self.dim_supplier), ["counterparty_type", "counterparty_id"])]
@@ -223,7 +255,7 @@ class Warehouse:
     def _with(self, **tables: DataFrame) -> Warehouse:
         """This warehouse with other rows in some tables; what it has made from them is made again."""
         other = copy.copy(self)
-        for name in [n for n in other.__dict__ if n in TABLES and n not in self._published] + ["gl_monthly"]:
+        for name in [n for n in other.__dict__ if n in TABLES and n not in self._published] + ["gl_monthly", "gl_daily", "_invoices"]:
             other.__dict__.pop(name, None)
         other.__dict__.update(tables)
         return other
@@ -490,14 +522,21 @@ class Warehouse:
 
     # --- monthly aggregates --------------------------------------------------------
 
+    @cached_property
+    def gl_daily(self) -> DataFrame:
+        return monthly.gl_daily(self.fct_gl_entry).persist()
+
     @cached_property
     def gl_monthly(self) -> DataFrame:
+        if "gl_daily" in self.__dict__:
+            return monthly.gl_months_of_days(self.gl_daily)
         return monthly.gl_monthly(self.fct_gl_entry).persist()
 
     def release(self) -> None:
-        """Give up the monthly ledger aggregate, if it was used."""
-        if "gl_monthly" in self.__dict__:
-            self.__dict__.pop("gl_monthly").unpersist()
+        """Give up the ledger aggregates that were used."""
+        for name in ("gl_monthly", "gl_daily"):
+            if name in self.__dict__:
+                self.__dict__.pop(name).unpersist()
 
     @cached_property
     def int_pnl_monthly(self) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from finmarts.operators.checks import Checks, Newest, run_checks, run_newest_checks
 from finmarts.plans.expectations import EXPECTATIONS
-from finmarts.plans.warehouse import CHECKED_BELOW, CLEANED, FACTS, TABLES, Warehouse
+from finmarts.plans.warehouse import CHECKED_BELOW, CLEANED, FACTS, MARTS, TABLES, Warehouse
 from finmarts.sources.schemas import schema_of
 
 
@@ -140,10 +140,34 @@ def test_only_keys_and_failures_of_a_fact_travel(spark, plan, tmp_path, name):
     assert len(keyed) == 1 and "_failed" in text
 
 
+@pytest.mark.parametrize("name", [t for t in MARTS if t in EXPECTATIONS])
+def test_checks_of_a_mart_find_what_its_rows_show(spark, name):
+    def source(staging):
+        return odd_loads(spark, staging).persist()
+
+    def made():
+        return Warehouse(spark, source, day("2001-08-01"))
+
+    assert rows(made().checks(name)) == rows(run_checks(made().table(name), name, EXPECTATIONS[name]))
+
+
+def test_both_reports_on_invoices_are_checked_on_one_pass(spark, plan, tmp_path):
+    def source(staging):
+        path = str(tmp_path / staging)
+        odd_loads(spark, staging).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    tables = Warehouse(spark, source, day("2001-08-01"))
+    both = tables.checks("dm_working_capital_monthly").unionByName(tables.checks("dm_ar_ap_aging_snapshot"))
+    text = plan(both).split("Initial Plan")[0]
+    sent = [line for line in text.splitlines() if "hashpartitioning(invoice_id" in line and "REPARTITION_BY_COL" in line]
+    assert len([line for line in sent if "Reused" not in line]) == 1 and "ReusedExchange" in text
+
+
 def test_rows_that_a_repeated_lookup_key_adds_are_counted(spark):
-    load = "date'2000-01-01' as _ingested_at, 'b' as _batch_id, md5('x') as _row_hash, 0 as _is_deleted"
-    lines = spark.range(6).selectExpr("id as line", "id % 3 as order", "id % 2 as part", "if(id = 4, null, 1) as v", load)
-    orders = spark.range(2).selectExpr("id as order", "if(id = 0, null, id) as buyer", "id as region", load)
+    load = ["date'2000-01-01' as _ingested_at", "'b' as _batch_id", "md5('x') as _row_hash", "0 as _is_deleted"]
+    lines = spark.range(6).selectExpr("id as line", "id % 3 as order", "id % 2 as part", "if(id = 4, null, 1) as v", *load)
+    orders = spark.range(2).selectExpr("id as order", "if(id = 0, null, id) as buyer", "id as region", *load)
     parts = spark.createDataFrame([(0,), (0,), (0,), (1,), (None,), (None,)], "part bigint")
     regions = spark.createDataFrame([(0,), (1,), (1,)], "region bigint")
     checks = Checks(not_null=["line", "v", "buyer"], unique=["line"], conditions={"first": "line < 3"})

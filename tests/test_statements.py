@@ -7,7 +7,7 @@ from helpers import DATA, day, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from finmarts.plans import balance, cashflow, pnl
+from finmarts.plans import balance, cashflow, monthly, pnl
 
 BALANCE = "period date, account_id int, bs_group string, scenario_id int, ending_balance decimal(28,2)"
 
@@ -106,3 +106,24 @@ def test_ledger_is_read_once_for_the_pnl(spark):
     text = entry.warehouse(spark, DATA).dm_pnl_periodic._jdf.queryExecution().executedPlan().toString()
     assert text.count("lineitem.parquet") == 1
     assert "NestedLoop" not in text and "CartesianProduct" not in text
+
+
+def test_daily_sums_serve_the_periodic_and_the_monthly_statements(spark):
+    marts = entry.warehouse(spark, DATA)
+    ledger = marts.fct_gl_entry.withColumns({
+        "posting_date": F.expr("if(gl_id % 9 = 0, null, posting_date)"),
+        "signed_amount": F.expr("if(gl_id % 7 = 0, null, signed_amount)"),
+    }).persist()
+    daily = monthly.gl_daily(ledger)
+    assert daily.agg(F.sum("posting_count")).first()[0] == ledger.count()
+    assert rows(pnl.periodic(daily, "total_signed")) == rows(pnl.periodic(ledger))
+    assert rows(monthly.gl_months_of_days(daily)) == rows(monthly.gl_monthly(ledger))
+
+
+def test_checks_of_the_marts_read_the_ledger_once(spark):
+    marts = entry.warehouse(spark, DATA)
+    checked = marts.checks("dm_pnl_periodic").unionByName(marts.checks("dm_balance_monthly"))
+    assert rows(checked, "failing_rows") and "gl_daily" in marts.__dict__ and marts.gl_daily.is_cached
+    assert not marts.gl_monthly.is_cached
+    marts.release()
+    assert "gl_daily" not in marts.__dict__
