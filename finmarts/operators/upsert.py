@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from finmarts.operators.latest import latest
 from finmarts.sources import files, versions
 from finmarts.sources.sinks import MONTH, PARTITION_BY, arranged
+from finmarts.sources.workdir import shuffles_released
 
 LOOKBACK_DAYS = 3
 
@@ -76,7 +77,8 @@ def upsert_table(
     target = versions.read(spark, path, base)
     rows = source if lookback is None else recent_rows(source, newest_date(target, date), date, lookback)
     staged = f"{path}/_batch-{uuid.uuid4().hex}"
-    rows.drop(MONTH).write.parquet(staged, compression=versions.CODEC)
+    with shuffles_released(spark):
+        rows.drop(MONTH).write.parquet(staged, compression=versions.CODEC)
     try:
         batch = spark.read.schema(source.drop(MONTH).schema).parquet(staged)
         received = batch.select(PARTITION_BY[MONTH](F.col(date)).alias(MONTH))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from finmarts.sources import files
+from finmarts.sources.workdir import shuffles_released
 
 #: Starts with an underscore, so that no column of a table is likely to have the name.
 VERSION = "_state"
@@ -106,7 +107,8 @@ def write_folder(df: DataFrame, path: str, by: str | None, base: Manifest | None
         raise FileExistsError(f"{path} holds files that no manifest names, such as {foreign[0]}")
     folder = f"{VERSION}={(base.number if base else 0) + 1:08d}-{uuid.uuid4().hex[:12]}"
     writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(f"{path}/{folder}", compression=CODEC)
+    with shuffles_released(spark):
+        writer.parquet(f"{path}/{folder}", compression=CODEC)
     if not by:
         return folder, [0]
     found = files.names(spark, f"{path}/{folder}")
