@@ -77,27 +77,24 @@ def balance(gl_month: DataFrame) -> DataFrame:
 
 
 def sales(lines: DataFrame) -> DataFrame:
-    """Sales by month, client and product without cancelled orders."""
+    """Sales by month, client and product without cancelled orders.
+
+    Lines move to their month, client and product once, for the counting of orders and for the sums.
+    """
     day = F.col("order_date")
-    return (
-        lines.where(NET_OF_CANCELLED)
-        .groupBy(
-            cal.month_start(day).alias("period"),
-            F.year(day).alias("year"),
-            F.quarter(day).alias("quarter"),
-            "client_id",
-            "client_segment",
-            "client_region",
-            "product_id",
-            "product_category",
-            "product_brand",
-            "margin_group",
-        )
-        .agg(
-            sum_total("line_revenue").alias("revenue"),
-            sum_total("line_cogs").alias("cogs"),
-            sum_total("line_gross_profit").alias("gross_profit"),
-            F.sum("quantity").alias("quantity"),
-            F.count_distinct("order_id").alias("order_count"),
-        )
+    attributes = ["client_segment", "client_region", "product_category", "product_brand", "margin_group"]
+    group = ["period", "year", "quarter", "client_id", *attributes[:2], "product_id", *attributes[2:]]
+    rows = lines.where(NET_OF_CANCELLED).withColumns({
+        "period": cal.month_start(day), "year": F.year(day), "quarter": F.quarter(day),
+    })
+    money = {"revenue": "line_revenue", "cogs": "line_cogs", "gross_profit": "line_gross_profit"}
+    by_order = (
+        rows.repartition("period", "client_id", "product_id")
+        .groupBy(*group, "order_id")
+        .agg(*[sum_total(of).alias(name) for name, of in money.items()], F.sum("quantity").alias("quantity"))
+    )
+    return by_order.groupBy(*group).agg(
+        *[sum_total(name).alias(name) for name in money],
+        F.sum("quantity").alias("quantity"),
+        F.count("order_id").alias("order_count"),
     )

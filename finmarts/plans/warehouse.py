@@ -12,6 +12,7 @@ from __future__ import annotations
 import copy
 import datetime as dt
 import os
+import uuid
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -23,12 +24,14 @@ from finmarts.operators.checks import Lookup, Newest, run_checks, run_newest_che
 from finmarts.operators.latest import LOAD_ORDER, latest_live
 from finmarts.operators.lookups import lookup_side
 from finmarts.operators.keyed import BUCKET, bucketed, merge_arrivals, unseen
+from finmarts.operators.ranges import Ranges, in_ranges, noted, ranges_of
 from finmarts.operators.upsert import newest_date, recent_rows, upsert_table
 from finmarts.plans import balance, cashflow, dims, facts, kpi, monthly, ods, pnl, receivables, refresh, sales
 from finmarts.plans.expectations import EXPECTATIONS
 from finmarts.sources.readers import Source
-from finmarts.sources import versions
-from finmarts.sources.sinks import MONTH, YEAR, arranged, laid_out_by, partition_of, write_table
+from finmarts.sources import files, versions
+from finmarts.sources.sinks import MONTH, UNDATED, YEAR, arranged, laid_out_by, partition_of, write_table
+from finmarts.sources.workdir import shuffles_released
 
 ODS = [
     "ods_company", "ods_accounts", "ods_clients", "ods_managers", "ods_products", "ods_suppliers", "ods_warehouses",
@@ -235,7 +238,7 @@ class Warehouse:
         if name in KEYED or name in KEYED_DIMS:
             return self._write_keyed(name, target, old)
         if name in HEADERS and HEADERS[name][0] in self._published:
-            return self._write_lines(name, target)
+            return self._write_lines(name, path, target, old)
         if name == "ods_gl_postings" and "ods_accounts" in self._published:
             return self._write_postings(name, target)
         below = {fact: self._states[fact].folders for fact in AGGREGATES.get(name, []) if fact in self._published}
@@ -319,14 +322,93 @@ class Warehouse:
         rows = other.table(name).withColumn("_loaded_at_ts", F.unix_timestamp())
         return versions.replace_partitions(bucketed(rows, key, buckets), target, reached, old, sources, marks)
 
-    def _write_lines(self, name: str, target: str) -> versions.Manifest:
-        """Order lines, laid out by the month of their header."""
+    def _write_lines(self, name: str, path: str, target: str, old: versions.Manifest | None) -> versions.Manifest:
+        """Order lines, laid out by the month of their header.
+
+        The state notes sums over ranges of the line key, taken before the rows are read. A refresh makes again what lies
+        in ranges whose staging rows have changed and moves lines whose header has changed its month; where that is most
+        of the table, or it can't be told, all lines are made again.
+        """
+        header, key, _ = HEADERS[name]
+        staging, line_key, _ = CLEANED[name]
+        stg = self.source(staging)
+        before = noted(old.marks) if old is not None else None
+        now = ranges_of(stg.where(F.col("_is_deleted") == 0), line_key, before)
+        sources = {header: self._states[header].folders}
+        if before is not None and before.width == now.width and set(old.sources) == {header}:
+            state = self._refresh_lines(name, path, target, old, before, now)
+            if state is not None:
+                return state
+        rows = self._with_months(name, self.table(name))
+        return versions.replace(laid_out_by(rows, MONTH, LAYOUT[name][2]), target, MONTH, sources, now.marks())
+
+    def _with_months(self, name: str, lines: DataFrame) -> DataFrame:
+        """Lines with the month of their header, as they are written."""
         header, key, date = HEADERS[name]
-        _, _, sort = LAYOUT[name]
         months = self.table(header).select(key, partition_of(MONTH, F.col(date)).alias(MONTH))
-        rows = self.table(name).withColumn("_loaded_at_ts", F.unix_timestamp()).join(months, key, "left")
-        rows = rows.withColumn(MONTH, F.coalesce(MONTH, partition_of(MONTH, F.lit(None).cast("date"))))
-        return versions.replace(laid_out_by(rows, MONTH, sort), target, MONTH, {header: self._states[header].folders})
+        rows = lines.withColumn("_loaded_at_ts", F.unix_timestamp()).join(months, key, "left")
+        return rows.withColumn(MONTH, F.coalesce(MONTH, F.lit(UNDATED)))
+
+    def _refresh_lines(
+        self, name: str, path: str, target: str, old: versions.Manifest, before: Ranges, now: Ranges
+    ) -> versions.Manifest | None:
+        """The lines of `_write_lines` from those published before; None if they are to be made again whole."""
+        header, key, _ = HEADERS[name]
+        staging, line_key, clean = CLEANED[name]
+        state, at = self._states[header], os.path.join(path, header)
+        was = dict(old.sources[header])
+        sources, marks = {header: state.folders}, now.marks()
+        reached = now.changed(before)
+        if 2 * len(reached) > len(before.sums):
+            return None
+        if {f.name: f.dataType for f in old.schema.fields if f.name != "_loaded_at_ts"} != {
+            f.name: f.dataType for f in self.table(name).schema.fields
+        }:
+            return None
+        if not set(was.values()) <= set(files.names(self.spark, at)):
+            return None  # the headers they were laid out by are gone
+        base = versions.read(self.spark, target, old)
+        moved = self._moved_headers(name, at, was, state).persist()
+        staged = f"{target}/_batch-{uuid.uuid4().hex}"
+        try:
+            with shuffles_released(self.spark):
+                months = {m for pair in moved.select("_from", "_to").distinct().collect() for m in pair}
+                if reached:
+                    within = in_ranges(line_key, now.width, reached)
+                    fresh = self._with_months(name, clean(self.source(staging).where(within)))
+                    fresh.write.parquet(staged, compression=versions.CODEC)
+                    fresh = self.spark.read.schema(fresh.schema).parquet(staged).select(*base.columns)
+                    # bounded by the number of calendar months
+                    months |= {r[MONTH] for r in base.where(within).select(MONTH).union(fresh.select(MONTH)).distinct().collect()}
+            if not months:
+                return old if was == dict(state.folders) and not reached else versions.commit(
+                    self.spark, target, old.schema, MONTH, old.folders, old, sources, marks
+                )
+            rows = versions.at_partitions(base, MONTH, sorted(months))
+            if reached:
+                rows = rows.where(~within)
+            rows = rows.join(moved.select(key, "_to"), key, "left").withColumn(MONTH, F.coalesce("_to", MONTH)).select(*base.columns)
+            rows = rows.unionByName(fresh) if reached else rows
+            return versions.replace_partitions(laid_out_by(rows, MONTH, LAYOUT[name][2]), target, months, old, sources, marks)
+        finally:
+            moved.unpersist()
+            files.delete(self.spark, staged)
+
+    def _moved_headers(self, name: str, at: str, was: dict[int, str], state: versions.Manifest) -> DataFrame:
+        """Keys of headers that now lie in another month than in an earlier state, new ones and gone ones too.
+
+        Lines without a header lie where those without a date do.
+        """
+        _, key, _ = HEADERS[name]
+        months = versions.changed(was, state.folders)
+
+        def of(folders: dict[int, str], month: str) -> DataFrame:
+            some = versions.Manifest(state.number, state.schema, MONTH, {m: folders[m] for m in months if m in folders})
+            return versions.read(self.spark, at, some).where(F.col(key).isNotNull()).select(key, F.col(MONTH).alias(month))
+
+        both = of(was, "_from").join(of(dict(state.folders), "_to"), key, "full_outer")
+        both = both.select(key, *[F.coalesce(c, F.lit(UNDATED)).alias(c) for c in ("_from", "_to")])
+        return both.where(F.col("_from") != F.col("_to"))
 
     def _write_postings(self, name: str, target: str) -> versions.Manifest:
         """Ledger postings, laid out by month before they get the columns of their account.
