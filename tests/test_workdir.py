@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from finmarts.llm.byte_repeats import without_repeats
 from finmarts.llm.common import written
 from finmarts.sources import versions
 from finmarts.sources.workdir import RELEASE, shuffles_released
@@ -50,3 +51,11 @@ def test_a_plan_runs_again(spark, tmp_path):
     versions.replace(df, str(tmp_path / "again"))
     assert sorted(tuple(r) for r in df.collect()) == first
     assert sorted(tuple(r) for r in versions.read(spark, str(tmp_path / "again")).select("k", "count").collect()) == first
+
+
+def test_texts_move_when_the_shuffles_that_found_repeats_are_gone(spark):
+    text = "".join(f"{i:04d}" for i in range(100))
+    docs = spark.createDataFrame([(1, text), (2, "x" + text[:80] + "y"), (3, None)], "doc_id long, text string")
+    left = without_repeats(docs)
+    assert "minimiser" not in left._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in left.collect()) == [(1, 400, 0, 0), (2, 82, 80, 1), (3, 0, 0, 0)]
